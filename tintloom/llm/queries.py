@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintloom.llm import chat, mix, url_filter
+from tintloom.llm import chat, decontaminate, html_text, mix, pfor, url_filter
 from tintloom.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -51,6 +52,12 @@ FROM r
 """
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), columns=["doc_id"]))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every logged conversation that no longer one begins with, rendered."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
@@ -106,8 +113,24 @@ FROM r
 OP6_SQL = f"SELECT doc_id, size, source_size, target, copies * size AS taken FROM ({mix_sql('documents')})"
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as read back from the files."""
+    return pfor.tokens_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {"op1_url_filter": op1_url_filter, "op5_chat_format": op5_chat_format, "op6_mix": op6_mix}
+    return {f.__name__: f for f in (op1_url_filter, op3_decontaminate, op5_chat_format, op6_mix, op9_token_files, op10_html_text)}
 
 
 def oracle_sql() -> dict:
