@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintloom.llm import chat, decontaminate, html_text, mix, pfor, url_filter
+from tintloom.llm import chat, decontaminate, html_text, mix, pfor, quality, url_filter
 from tintloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -119,6 +119,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict for every document; the model is fitted on a bounded sample of `labels`."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.fit_on(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return judged.select("doc_id", *[F.col(f"__{c}").alias(c) for c in (*quality.COUNTS, "base_failed", "kept")], F.col("__probability").alias("probability"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, as read back from the files."""
     return pfor.tokens_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
@@ -130,7 +137,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op3_decontaminate, op5_chat_format, op6_mix, op9_token_files, op10_html_text)}
+    return {f.__name__: f for f in (op1_url_filter, op3_decontaminate, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
 
 
 def oracle_sql() -> dict:
