@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintloom.llm import chat, decontaminate, html_text, mix, pfor, quality, url_filter
+from tintloom.llm import chat, decontaminate, html_text, jaccard, mix, pfor, quality, url_filter
 from tintloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,11 @@ FROM r
 """
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of Jaccard similarity 0.8 between sets of five-word shingles."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -137,7 +142,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op3_decontaminate, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
+    return {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_decontaminate, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
 
 
 def oracle_sql() -> dict:

@@ -78,7 +78,5 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def short_window(hashes: np.ndarray) -> np.ndarray:
     """One hash for a whole sequence of fewer elements than a window has."""
-    total = np.uint64(len(hashes)) * PLACES[-1]
-    for k in range(len(hashes)):
-        total = total + hashes[k] * PLACES[k]
-    return mix64(np.array([total], np.uint64))
+    parts = np.append(hashes, np.uint64(len(hashes))) * np.append(PLACES[: len(hashes)], PLACES[-1])
+    return mix64(parts.sum(dtype=np.uint64, keepdims=True))
