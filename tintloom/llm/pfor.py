@@ -9,7 +9,9 @@ number of exceptions, packed words, places and values of the exceptions.
 from __future__ import annotations
 
 import io
+import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -22,10 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tintloom.llm.common import new_path, slices, stored, utf8
+from tintloom.llm.scan import BLANK
 
 MAGIC, BLOCK, PERCENTILE, END_ID = b"PFRB0001", 1024, 90, 1
 #: Distinct words and their bytes that a worker remembers with their ids, and ids that are packed at once.
-CACHE_WORDS, CACHE_BYTES, AT_ONCE = 300_000, 32 << 20, 1 << 20
+CACHE_WORDS, CACHE_BYTES, AT_ONCE = 1_000_000, 32 << 20, 1 << 20
+#: Words of letters encoded together, and marks that may follow them.
+TOGETHER, MARKS = 32, b".,!?;:"
 HEAD = struct.Struct("<IBxH")
 
 
@@ -161,60 +166,126 @@ def read(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
                 doc += done == edges[doc]
 
 
+def is_letters(text: str) -> bool:
+    """Whether the text is letters alone, in the form in which the tokenizer sees it too."""
+    return text.isalpha() and (text.isascii() or unicodedata.normalize("NFC", text).lower().isalpha())
+
+
+class Sequences:
+    """Id sequences in a row, told by number."""
+
+    def __init__(self):
+        self.flat, self.used = np.empty(1 << 18, np.uint32), 0
+        self.starts, self.lengths, self.n = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), 0
+
+    def append(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        while self.n + len(lengths) > len(self.starts):
+            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        at = slice(self.n, self.n + len(lengths))
+        self.lengths[at] = lengths
+        self.starts[at] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.n, self.used = self.n + len(lengths), self.used + len(ids)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lengths of the sequences `at`, and their ids one after the other."""
+        sizes = self.lengths[at]
+        ends = np.cumsum(sizes)
+        return sizes, self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+
+
+#: ASCII bytes that may stand before a mark, marks that are a piece of their own there, and white space.
+_PLAIN, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK[list(MARKS)] = True
+
+
+def pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct pieces, which of them stand in the texts, and how many stand in each text.
+
+    Pieces are the words between ASCII white space, with a mark at the end of a plain word apart.
+    """
+    # Special tokens keep their case.
+    lowered = [t if b"<|" in t else t.lower() for t in texts]
+    raw = np.frombuffer(b" ".join([*lowered, b" "]), np.uint8)
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
+    blank = BLANK[raw]
+    marks = np.flatnonzero(_PLAIN[raw[:-2]] & _MARK[raw[1:-1]] & blank[2:]) + 1
+    begins = np.concatenate([[True], blank[:-1]]) & ~blank
+    begins[marks] = True
+    places = np.flatnonzero(begins)
+    solid = np.cumsum(~blank, dtype=np.int32)
+    offsets = np.append(solid[places] - 1, solid[-1]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank])]).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy(), np.diff(np.searchsorted(places, edges))
+
+
 class Encoder:
-    """Encodes with the tokenizer a word at a time and remembers words.
+    """Encodes with the tokenizer a piece at a time and remembers pieces.
 
-    The tokenizer never joins what white space parts, so the ids of a text are those of its pieces between
-    ASCII white space, one after the other.
+    The tokenizer lowers the case and never joins what white space parts, nor letters with what isn't one. So
+    the ids of a text are those of its pieces, one after the other. New pieces of letters alone are encoded
+    many at a time and told apart by the ids that end a word.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.bytes = 0
-        self.flat, self.n_flat = np.empty(1 << 20, np.uint32), 0
-        self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)]
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32)
-            n = len(self.known)
-            while n + len(part) > len(self.starts):
-                self.starts, self.lengths = np.concatenate([self.starts, self.starts]), np.concatenate([self.lengths, self.lengths])
-            while self.n_flat + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, self.flat])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.lengths[n : n + len(part)] = sizes
-            self.starts[n : n + len(part)] = self.n_flat + np.cumsum(sizes) - sizes
-            self.flat[self.n_flat : self.n_flat + len(flat)] = flat
-            self.n_flat += len(flat)
-            self.known.update(zip(part, range(n, n + len(part)), strict=True))
-            self.bytes += sum(map(len, part))
+        self.ids, self.bytes = Sequences(), 0
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.fromiter(map(len, found), np.int64, len(found)), np.array([x for ids in found for x in ids], np.uint32)
+
+    def _letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words of letters."""
+        groups = [texts[i : i + TOGETHER] for i in range(0, len(texts), TOGETHER)]
+        lengths, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            found = np.array(e.ids, np.uint32)
+            stops = np.flatnonzero(self.ends[found]) + 1
+            if len(stops) == len(group) and stops[-1] == len(found):
+                lengths.append(np.diff(stops, prepend=0))
+            else:  # some letter isn't one to the tokenizer
+                n, found = self._one_by_one(group)
+                lengths.append(n)
+            ids.append(found)
+        return np.concatenate(lengths), np.concatenate(ids)
+
+    def _learn(self, new: list[bytes]) -> None:
+        letters: list[tuple[bytes, str]] = []
+        others: list[tuple[bytes, str]] = []
+        for piece in new:
+            text = piece.decode()
+            (letters if is_letters(text) else others).append((piece, text))
+        for encode, chosen in ((self._letters, letters), (self._one_by_one, others)):
+            for i in range(0, len(chosen), 20_000):
+                raw, texts = zip(*chosen[i : i + 20_000], strict=True)
+                self.known.update(zip(raw, range(self.ids.n, self.ids.n + len(raw)), strict=True))
+                self.ids.append(*encode(list(texts)))
+                self.bytes += sum(map(len, raw))
 
     def __call__(self, texts: list[bytes], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, with its end id, and all ids in a row."""
         if len(self.known) > CACHE_WORDS or self.bytes > CACHE_BYTES:
             self._forget()
-        words, counts = [], []
-        for text in texts:
-            part = text.split()
-            words += part
-            counts.append(len(part))
-        self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.lengths[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-        stops = np.concatenate([[0], ends])[np.cumsum(counts)]
-        lengths = np.diff(np.concatenate([[0], stops])) + 1
-        return lengths, np.insert(ids, stops, end_id)
+        words, which, counts = pieces(texts)
+        self._learn([w for w in words if w not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[which]
+        sizes, ids = self.ids.take(at)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        return np.diff(stops, prepend=0) + 1, np.insert(ids, stops, end_id)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -248,7 +319,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
         store.create_dir(base, recursive=True)
         name = f"{shard:06d}-{uuid.uuid4().hex}.pfor"
         first, n_docs, writer, sink = None, 0, None, None
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 6 << 20):
             if not batch.num_rows:
                 continue
             if writer is None:
