@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintloom.llm import chat, decontaminate, html_text, jaccard, mix, pfor, quality, url_filter
+from tintloom.llm import chat, decontaminate, html_text, jaccard, mix, pfor, quality, repeats, url_filter
 from tintloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), columns=["doc_id"]))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of 100 bytes that begin earlier too."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every logged conversation that no longer one begins with, rendered."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
@@ -142,7 +147,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_decontaminate, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
+    return {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_decontaminate, op4_suffix_dedup, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
 
 
 def oracle_sql() -> dict:
