@@ -4,8 +4,9 @@ Any two sets of Jaccard similarity 0.8 share an element among the first n - ceil
 common order of elements. The order here is: elements that many sets hold ("heavy") last, else by hash. The
 index lists of these prefix elements are worked in two rounds.
 
-1. Answers of a pivot. In each list every set is compared with one pivot, its smallest document. Groups of
-   near copies come together here at a cost that is linear in their size.
+1. Answers of a pivot. The pivot of a list is its smallest document. Every set is compared with the pivot
+   that it shares most prefix elements with, if these are enough for similarity. Groups of near copies come
+   together here at a cost that is linear in their size.
 2. The rest. Lists whose sets are in several components then give the pairs that the first round left open.
    A list is cut into blocks by set size and prefix position, and blocks whose best possible overlap with a
    set is too small are skipped. In lists of heavy elements a set's answers derive from its pivot's: by the
@@ -162,22 +163,40 @@ def _sizes_fit(na: Column, nb: Column) -> Column:
     return (5 * na >= 4 * nb) & (5 * nb >= 4 * na)
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, overlap) of pairs (a, b), from `sets` (node, n, elements)."""
-    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("eb")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("elements").alias("ea")), "a")
-    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ea", "eb")).cast("long").alias("overlap"))
-
-
-def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, elements) of the documents whose ids are nodes."""
+def _sets_of(texts: DataFrame, name: str) -> DataFrame:
+    """The stored table (pivot, node, n, elements) of rows (pivot, node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
             sets = shingle_sets(utf8(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "elements"])
+            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["pivot", "node", "n", "elements"])
+
+    return stored(texts.mapInArrow(run, "pivot long, node long, n long, elements array<long>"), name)
+
+
+def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b, na, nb, overlap) of every member with its pivot."""
+    b = members.select("pivot", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("eb"))
+    a = heads.select(F.col("node").alias("pivot"), F.col("n").alias("na"), F.col("elements").alias("ea"))
+    return b.join(a, "pivot").select(F.col("pivot").alias("a"), "b", "na", "nb", F.size(F.array_intersect("ea", "eb")).cast("long").alias("overlap"))
 
-    return docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi").mapInArrow(run, "node long, n long, elements array<long>")
+
+def compare_with_pivots(docs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The stored table (a, b, na, nb, overlap) of pairs (a, b) in which every b has one a; each set moves once."""
+    heads = tried.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("pivot"))
+    wanted = stored(tried.select(F.col("b").alias("node"), F.col("a").alias("pivot")).union(heads), "wanted")
+    sets = _sets_of(docs.withColumnRenamed("doc_id", "node").join(wanted, "node"), "sets")
+    release(docs.sparkSession)
+    return stored(_overlaps(sets.where("pivot <> node"), sets.where("pivot = node")), "answers")
+
+
+def compare_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b)."""
+    nodes = stored(pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("pivot")), "nodes")
+    sets = _sets_of(docs.withColumnRenamed("doc_id", "node").join(nodes, "node"), "sets")
+    release(docs.sparkSession)
+    members = pairs.select(F.col("a").alias("pivot"), F.col("b").alias("node")).join(sets.drop("pivot"), "node")
+    return stored(_overlaps(members, sets), "answers")
 
 
 def open_light_pairs(lists: DataFrame) -> DataFrame:
@@ -264,17 +283,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leaders = sets.where("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"], "left_semi")
     leaders = leaders.select(F.col("doc_id").alias("node"), "n", "light", "heavy")
 
-    # Round 1: every set of a list against the list's pivot.
+    # Round 1: every set against the pivot with which it shares most, if they can be similar at all.
     light = stored(light_lists(leaders.select("node", "n", F.posexplode("light").alias("pos", "element")).select("element", "node", "n", "pos")), "light")
     release(spark)
     late = stored(leaders.where(F.size("heavy") > 0).select("node", "n", F.explode("heavy").alias("element")), "heavy")
     pivots = stored(late.groupBy("element").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"), "pivots")
     late = stored(late.join(pivots, "element"), "heavy-lists")
-    tried = stored(light.select("pivot", "node").union(late.select("pivot", "node")).where("pivot <> node").distinct(), "tried")
-    nodes = stored(tried.select("pivot").union(tried.select("node")).distinct().withColumnRenamed("pivot", "node"), "nodes")
-    full = stored(full_sets(docs, nodes), "sets")
-    release(spark)
-    answers = stored(compare(tried.select(F.col("pivot").alias("a"), F.col("node").alias("b")), full), "answers")
+    met = light.select("pivot", "node", F.lit(1).alias("shared"), F.lit(0).alias("late")).union(late.select("pivot", "node", F.lit(0), F.lit(1)))
+    stars = stored(met.where("pivot <> node").groupBy("pivot", "node").agg(F.sum("shared").alias("shared"), F.sum("late").alias("late")), "stars")
+    reach = stored(leaders.groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.size("heavy")).alias("h")), "reach")
+    side = lambda x: reach.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "most", "h")])
+    # Other common elements are heavy ones of both prefixes, or stand behind one of the prefixes.
+    behind = F.greatest(F.ceil(F.col("mosta") * 4 / 5), F.ceil(F.col("mostb") * 4 / 5)) - 1
+    enough = 9 * (F.col("shared") + F.least("ha", "hb") + behind) >= 4 * (F.col("na") + F.col("nb"))
+    likely = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "shared", "late").join(side("a"), "a").join(side("b"), "b").where(enough)
+    best = likely.groupBy("b").agg(F.max(F.struct((F.col("shared") + F.col("late")).alias("common"), (-F.col("a")).alias("low"))).alias("best"))
+    tried = stored(best.select((-F.col("best")["low"]).alias("a"), "b"), "tried")
+    answers = compare_with_pivots(docs, tried)
     release(spark)
     similar = _similar(F.col("overlap"), F.col("na"), F.col("nb"))
     links = answers.where(similar).select("a", "b")
@@ -282,29 +307,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Round 2: pairs of different components in lists that hold several.
     of = lambda frame, key, name: frame.join(joined.select(F.col("node").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
-    apart = stored(of(of(answers.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select(F.col("a").alias("pivot"), F.col("b").alias("node")), "apart")
-    mixed = light.join(apart, ["pivot", "node"], "left_semi").select("element").distinct()
-    shared = stored(open_light_pairs(of(light.join(stored(mixed, "mixed"), "element", "left_semi"), "node", "component")), "shared")
-    late_n = leaders.groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.size("heavy")).alias("h"))
-    reach = stored(late_n.join(nodes, "node", "left_semi"), "reach")
-    side = lambda x: reach.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "most", "h")])
-    # Other common elements are heavy ones of both prefixes, or stand behind one of the prefixes.
-    behind = F.greatest(F.ceil(F.col("mosta") * 4 / 5), F.ceil(F.col("mostb") * 4 / 5)) - 1
-    enough = 9 * (F.col("shared") + F.least("ha", "hb") + behind) >= 4 * (F.col("na") + F.col("nb"))
+    apart = stored(of(of(stars.select("pivot", "node"), "pivot", "ca"), "node", "cb").where("ca <> cb").select("pivot", "node"), "apart")
+    mixed = stored(light.join(apart, ["pivot", "node"], "left_semi").select("element").distinct(), "mixed")
+    shared = stored(open_light_pairs(of(light.join(mixed, "element", "left_semi"), "node", "component")), "shared")
     open_light = shared.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
 
     distance = (1 - F.col("overlap") / (F.col("na") + F.col("nb") - F.col("overlap"))).alias("d")
     from_pivot = answers.select(F.col("a").alias("pivot"), F.col("b").alias("node"), distance).groupBy("pivot", "node").agg(F.min("d").alias("near"), F.max("d").alias("far"))
-    placed = of(of(late.join(from_pivot, ["pivot", "node"], "left").na.fill(0.0, ["near", "far"]), "node", "component"), "pivot", "home")
-    placed = stored(placed, "placed")
+    bound = lambda c, unknown: F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce(c, F.lit(unknown))).alias(c)
+    known = late.join(from_pivot, ["pivot", "node"], "left").select("element", "pivot", "node", "n", bound("near", 0.0), bound("far", 1.0))
+    placed = stored(of(of(known, "node", "component"), "pivot", "home"), "placed")
     columns = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("node", "n", "component", "near", "far")]
     strays = placed.where("component <> home").select("element", *columns("a"))
-    met = strays.join(placed.select("element", *columns("b")), "element").where("componenta <> componentb").where(_sizes_fit(F.col("na"), F.col("nb")))
-    met = met.where((F.col("neara") - F.col("farb") <= 0.2000001) & (F.col("nearb") - F.col("fara") <= 0.2000001))
-    open_heavy = met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
+    pairs = strays.join(placed.select("element", *columns("b")), "element").where("componenta <> componentb").where(_sizes_fit(F.col("na"), F.col("nb")))
+    pairs = pairs.where((F.col("neara") - F.col("farb") <= 0.2000001) & (F.col("nearb") - F.col("fara") <= 0.2000001))
+    open_heavy = pairs.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
     rest = stored(open_light.union(open_heavy).distinct(), "rest")
-    more = stored(compare(rest, full).where(similar).select("a", "b"), "more")
-    final = joined if more.isEmpty() else stored(components(links.union(more)), "round-2")
+    final = joined
+    if not rest.isEmpty():
+        more = compare_pairs(docs, rest).where(similar).select("a", "b")
+        final = stored(components(links.union(more)), "round-2")
+    release(spark)
 
     named = classes.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     result = sets.select("doc_id", "n", "k1", "k2").join(stored(named, "named"), ["k1", "k2"], "left")
