@@ -70,5 +70,6 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """The mixed documents: each row of `docs` as often as the plan takes it, with the columns of `docs`."""
-    planned = plan_mix(docs, **settings).where("__copies > 0")
-    return planned.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
+    planned = plan_mix(rows, **settings).where("__copies > 0")
+    return planned.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select("__row.*")

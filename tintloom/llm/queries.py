@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintloom.llm import chat, decontaminate, html_text, jaccard, mix, pfor, quality, repeats, url_filter
+from tintloom.llm import chat, decontaminate, html_text, jaccard, lm_score, mix, pfor, quality, repeats, url_filter
 from tintloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -129,6 +129,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document; the model is fitted on a bounded sample of `labels`."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -147,7 +153,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_decontaminate, op4_suffix_dedup, op5_chat_format, op6_mix, op8_quality, op9_token_files, op10_html_text)}
+    return {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_decontaminate, op4_suffix_dedup, op5_chat_format, op6_mix, op7_lm_score, op8_quality, op9_token_files, op10_html_text)}
 
 
 def oracle_sql() -> dict:
