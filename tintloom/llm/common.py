@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A word of the contracts that split on ASCII white space, as a pattern of Java and RE2.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of a batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -45,7 +47,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written as a table on shared storage and read back: lineage ends here, sizes are known."""
     path = new_path(frame.sparkSession, name)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    read = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    read._stored_at = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more; what was made of them is stored itself."""
+    for frame in frames:
+        jvm, context = frame.sparkSession._jvm, frame.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(frame._stored_at)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
@@ -56,6 +68,11 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Limits the bytes that Spark hands to a Python worker at once; the default of 64 MB is much for long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

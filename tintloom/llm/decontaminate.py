@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import slices, utf8
+from tintloom.llm.common import slices, small_batches, utf8
 
 #: Words in a window, and the characters of items that one automaton takes (a trie node for each character of each window).
 WINDOW, BLOCK_CHARS = 10, 1_000_000
@@ -127,6 +127,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
     item_id is the id 'null', repeated items count once, an empty benchmark hits nothing. Columns of these
     three names are replaced.
     """
+    small_batches(docs.sparkSession)
     carry = [c for c in (columns if columns is not None else docs.columns) if c not in {"__words", "__runs", "__items"}]
     docs = docs.select(*dict.fromkeys([*carry, text]))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text")).where("text is not null").distinct()

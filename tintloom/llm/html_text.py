@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import slices, stored
+from tintloom.llm.common import slices, small_batches, stored
 from tintloom.llm.url_filter import url_host
 
 # Fixed values of HTML: elements without content, with raw text, and that begin or end a block of text.
@@ -203,6 +203,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     A null or empty html, or one without text, gives an empty text; a null url belongs to the empty host.
     Repeated rows are kept and vote once each. Further columns are left out. No rows give no rows.
     """
+    small_batches(pages.sparkSession)
     known = pages.select("page_id", "url", "html")
     winners = stored(host_paths(known), "hosts").select("host", "path")
     joined = known.withColumn("host", url_host(F.col("url"))).join(winners, "host", "left").select("page_id", "url", "html", "path")

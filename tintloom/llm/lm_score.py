@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintloom.llm.common import slices, stored, utf8
+from tintloom.llm.common import slices, small_batches, stored, utf8
 from tintloom.llm.scan import Words
 
 CLASSES, PER_CLASS, BUCKETS, WIDTH = 32, 32, 64, 16
@@ -27,7 +27,7 @@ OFFSETS = (-2, -1, 1, 2)
 #: Rounds of training, one in STRIDE positions of a text in each, words in a step, and its rate.
 ROUNDS, STRIDE, STEP_WORDS, RATE = 2, 16, 1024, 0.15
 #: A chunk of words reports those that make up one in COUNT_SHARE of it.
-CHUNK, COUNT_SHARE, GROUP, BLOCK, PIECE = 1 << 20, 50_000, 32, 8192, 1 << 20
+CHUNK, COUNT_SHARE, GROUP, BLOCK, PIECE = 1 << 20, 50_000, 32, 8192, 1 << 19
 
 
 class Network(NamedTuple):
@@ -216,6 +216,7 @@ def train_round(docs: DataFrame, vocabulary: np.ndarray, net: Network, turn: int
 
 def train(docs: DataFrame) -> tuple[np.ndarray, Network]:
     """Vocabulary and network of a corpus (text)."""
+    small_batches(docs.sparkSession)
     vocabulary, net = frequent_words(docs), new_network()
     for turn in range(ROUNDS):
         net = train_round(docs, vocabulary, net, turn * STRIDE // ROUNDS)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import new_path, slices, stored, utf8
+from tintloom.llm.common import new_path, slices, small_batches, stored, utf8
 from tintloom.llm.scan import BLANK
 
 MAGIC, BLOCK, PERCENTILE, END_ID = b"PFRB0001", 1024, 90, 1
@@ -309,6 +309,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
     names only the files of the attempts that count, so a lost executor leaves nothing but an unused file.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

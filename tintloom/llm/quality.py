@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import slices, utf8
+from tintloom.llm.common import slices, small_batches, utf8
 from tintloom.llm.scan import Words, windows
 
 BUCKETS_LOG2, CHAR_GRAMS, WORD_GRAMS = 16, (2, 4), (1, 2)
@@ -26,7 +26,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, MIN_PROBABILITY = 50, 50, 0.5
 SYMBOLS = b"#*$%&|<>"
 _NOT_COUNTED = bytes(range(128, 192)) + b" \t\n\x0b\x0c\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-PIECE = 2 << 20
+PIECE = 1 << 19
 
 
 class Model(NamedTuple):
@@ -117,6 +117,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def labelled_features(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """(fold, quality, buckets, shares) of at most `most` labelled documents."""
+    small_batches(docs.sparkSession)
     chosen = (
         labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("__quality"), F.min("quality").alias("__least"))
         .where("__quality = __least").drop("__least").orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(most)
@@ -179,6 +180,7 @@ def judge(docs: DataFrame, model: Model, columns: list[str] | None = None) -> Da
     carry = [c for c in (columns if columns is not None else docs.columns) if c not in added]
     schema = T.StructType([*[f for f in docs.schema.fields if f.name in carry], *[T.StructField(n, T.LongType()) for n in added[:5]], T.StructField(added[5], T.BooleanType()), T.StructField(added[6], T.DoubleType()), T.StructField(added[7], T.BooleanType())])
     names = [f.name for f in schema.fields[: -len(added)]]
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import release, slices, stored, utf8
+from tintloom.llm.common import discard, release, slices, small_batches, stored, utf8
 from tintloom.llm.scan import mix64, powers, prefix_hashes
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text that are hashed at once, and of contexts that are sorted at once.
-PIECE, SORT_BYTES = 1 << 20, 1 << 20
+PIECE, SORT_BYTES = 1 << 19, 1 << 20
 NULL_ID, PART_BITS, FIRST_MASK = -(1 << 63), 44, (1 << 36) - 1
 
 
@@ -290,21 +290,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     if not 8 <= gram <= length <= 255:
         raise ValueError("8 <= gram <= length <= 255")
     spark, texts = docs.sparkSession, keyed(docs)
+    small_batches(spark)
     runs = runs_of(texts, length, gram)
     again = stored(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
     release(spark)
     found = stored(runs.join(again, "bucket", "left_semi"), "runs")
+    discard(again)
     release(spark)
     digests = stored(context_digests(_with_runs(texts, found), length), "digests")
+    discard(found)
     release(spark)
     keys = ["bucket", "k1", "k2"]
     contexts = stored(digests.groupBy(*keys).agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
     later = digests.join(contexts.where("n > 1").select(*keys, "first"), keys).where(F.struct("doc_id", "place") > F.col("first"))
     start = F.shiftright("place", 8).bitwiseAND(F.lit(FIRST_MASK))
-    whole = later.select("doc_id", F.shiftright("place", PART_BITS).alias("part"), start.alias("start"), (start + F.col("place").bitwiseAND(F.lit(255).cast("long")) + (length - 1)).alias("stop"))
+    whole = stored(later.select("doc_id", F.shiftright("place", PART_BITS).alias("part"), start.alias("start"), (start + F.col("place").bitwiseAND(F.lit(255).cast("long")) + (length - 1)).alias("stop")), "whole")
+    discard(digests)
+    release(spark)
     several = stored(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "several")
     firsts = stored(contexts.join(several, "bucket", "left_semi").select("bucket", "first.doc_id", "first.place"), "firsts")
+    discard(contexts, several)
     partly = stored(repeated_spans(context_bytes(_with_runs(texts, firsts), length), length), "partly")
+    discard(firsts)
     release(spark)
     gone = whole.union(partly).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "stop")])))])
