@@ -13,13 +13,17 @@ mostly have the same place; such a run of window starts is one row (bucket, docu
    scan of its common prefixes yields the interval tree; every interval of `length` bytes or more with two
    left extensions or more is a maximal repeat, given with all its occurrences. All but the first go.
 
-A bucket with very many contexts is cut further by a second hash of the window, again equal for equal windows.
+A bucket with more than MANY_CONTEXTS contexts, as edited copies of one text give, isn't sorted in one task: its
+windows are placed anew by longer strings, which most edits break, so that edited windows part from the common
+ones and the rest become equal contexts. The last strings are the windows themselves, of which equal ones are
+one context, so nothing is left to sort however large the group is.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +35,15 @@ from pyspark.sql import types as T
 from tintloom.llm.common import discard, release, slices, small_batches, stored, utf8
 from tintloom.llm.scan import mix64, powers, prefix_hashes
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAMS = 100, (32, 80)
+#: Contexts of a bucket that are sorted together.
+MANY_CONTEXTS = 1000
 #: Bytes of text that are hashed at once, and of contexts that are sorted at once.
 PIECE, SORT_BYTES = 1 << 19, 1 << 20
 NULL_ID, PART_BITS, FIRST_MASK = -(1 << 63), 44, (1 << 36) - 1
 
 
-def window_places(raw: np.ndarray, edges: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_places(raw: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, start, stop) of the runs of window starts of texts raw[edges[i]:edges[i + 1]].
 
     Runs don't cross texts; the windows at start to stop - 1 have the leftmost of their smallest hashes at the
@@ -125,6 +131,25 @@ def context_digests(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, place long")
 
 
+def finer_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Like `context_digests`, of the windows of the runs of `texts` placed anew by strings of `gram` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", PIECE):
+            rows = [(r["bucket"], doc, r["place"], raw[(f := r["place"] >> 8 & FIRST_MASK) : f + (r["place"] & 255) + length - 1]) for raw, doc, runs in zip(utf8(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("runs").to_pylist(), strict=True) for r in runs]
+            raw, edges = _joined([r[3] for r in rows])
+            bucket, first, stop = window_places(raw, edges, length, gram)
+            at = np.searchsorted(edges, first, side="right") - 1
+            old = np.array([r[:3] for r in rows], np.int64).reshape(-1, 3)[at]
+            whole = raw.tobytes()
+            k = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(first.tolist(), (stop + length - 1).tolist(), strict=True)]), np.int64).reshape(-1, 2)
+            place = (old[:, 2] >> 8 << 8) + ((first - edges[at]) << 8) + (stop - first)
+            finer = mix64(bucket ^ old[:, 0].view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(finer), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(old[:, 1]), pa.array(place)], ["bucket", "k1", "k2", "doc_id", "place"])
+
+    return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, place long")
+
+
 def context_bytes(texts: DataFrame, length: int) -> DataFrame:
     """(bucket, doc_id, place, bytes) of the runs of `texts`."""
 
@@ -279,19 +304,9 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row of `docs` (doc_id, text), with `kept` (bytes) if asked.
-
-    Removed is every byte covered by a `length`-byte string that also starts earlier: in a smaller doc_id, or
-    earlier in the text. `spans` are the removed byte ranges, apart from each other. A null text is empty, a
-    null doc_id comes before all others. Rows that share an id come in the order of their texts; a repeated
-    row so loses what the first one has. Texts below `length` bytes keep all. Further columns are left out.
-    """
-    if not 8 <= gram <= length <= 255:
-        raise ValueError("8 <= gram <= length <= 255")
-    spark, texts = docs.sparkSession, keyed(docs)
-    small_batches(spark)
-    runs = runs_of(texts, length, gram)
+def first_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """The stored digests of all runs whose bucket has another run."""
+    spark, runs = texts.sparkSession, runs_of(texts, length, gram)
     again = stored(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
     release(spark)
     found = stored(runs.join(again, "bucket", "left_semi"), "runs")
@@ -300,20 +315,50 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     digests = stored(context_digests(_with_runs(texts, found), length), "digests")
     discard(found)
     release(spark)
-    keys = ["bucket", "k1", "k2"]
-    contexts = stored(digests.groupBy(*keys).agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
-    later = digests.join(contexts.where("n > 1").select(*keys, "first"), keys).where(F.struct("doc_id", "place") > F.col("first"))
-    start = F.shiftright("place", 8).bitwiseAND(F.lit(FIRST_MASK))
-    whole = stored(later.select("doc_id", F.shiftright("place", PART_BITS).alias("part"), start.alias("start"), (start + F.col("place").bitwiseAND(F.lit(255).cast("long")) + (length - 1)).alias("stop")), "whole")
-    discard(digests)
-    release(spark)
-    several = stored(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "several")
-    firsts = stored(contexts.join(several, "bucket", "left_semi").select("bucket", "first.doc_id", "first.place"), "firsts")
-    discard(contexts, several)
-    partly = stored(repeated_spans(context_bytes(_with_runs(texts, firsts), length), length), "partly")
-    discard(firsts)
+    return digests
+
+
+def repeated_parts(texts: DataFrame, length: int, grams: tuple[int, ...]) -> list[DataFrame]:
+    """Stored tables (doc_id, part, start, stop) of all bytes that repeat earlier ones."""
+    spark, keys, parts = texts.sparkSession, ["bucket", "k1", "k2"], []
+    start, number = F.shiftright("place", 8).bitwiseAND(F.lit(FIRST_MASK)), F.col("place").bitwiseAND(F.lit(255).cast("long"))
+    digests = first_digests(texts, length, grams[0])
+    for finer in (*grams[1:], length, None):
+        contexts = stored(digests.groupBy(*keys).agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
+        later = digests.join(contexts.where("n > 1").select(*keys, "first"), keys).where(F.struct("doc_id", "place") > F.col("first"))
+        parts.append(stored(later.select("doc_id", F.shiftright("place", PART_BITS).alias("part"), start.alias("start"), (start + number + (length - 1)).alias("stop")), "whole"))
+        discard(digests)
+        release(spark)
+        several = stored(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "several")
+        firsts = stored(contexts.select("bucket", "first.doc_id", "first.place").join(several, "bucket"), "firsts")
+        discard(contexts, several)
+        small = firsts.where(F.col("contexts") <= (MANY_CONTEXTS if finer else 1 << 62)).drop("contexts")
+        parts.append(stored(repeated_spans(context_bytes(_with_runs(texts, small), length), length), "partly"))
+        large = firsts.where(F.col("contexts") > MANY_CONTEXTS).drop("contexts")
+        if finer is None or large.isEmpty():
+            discard(firsts)
+            break
+        digests = stored(finer_digests(_with_runs(texts, large), length, finer), "digests")
+        discard(firsts)
+        release(spark)
     release(spark)
-    gone = whole.union(partly).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
+    return parts
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...] = GRAMS, keep: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row of `docs` (doc_id, text), with `kept` (bytes) if asked.
+
+    Removed is every byte covered by a `length`-byte string that also starts earlier: in a smaller doc_id, or
+    earlier in the text. `spans` are the removed byte ranges, apart from each other. A null text is empty, a
+    null doc_id comes before all others. Rows that share an id come in the order of their texts; a repeated
+    row so loses what the first one has. Texts below `length` bytes keep all. Further columns are left out.
+    """
+    if not 8 <= grams[0] <= length <= 255 or max(grams) > length:
+        raise ValueError("8 <= grams <= length <= 255")
+    texts = keyed(docs)
+    small_batches(docs.sparkSession)
+    parts = repeated_parts(texts, length, grams)
+    gone = reduce(DataFrame.union, parts).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "stop")])))])
     if keep:
         schema = schema.add("kept", T.BinaryType())
