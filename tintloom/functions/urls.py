@@ -51,7 +51,7 @@ def path(url: Column) -> Column:
 
 def parameter(url: Column, name: str) -> Column:
     """The first non-empty value of a query parameter, decoded; null if there is none."""
-    raw = none_if_empty(F.regexp_extract(url, rf"^[^?#]*\?(?:[^#]*&)??{name}=([^&#]+)", 1))
+    raw = none_if_empty(F.regexp_extract(url, rf"^[^?#]*\?(?:[^#]*?&)??{name}=([^&#]+)", 1))
     return F.coalesce(F.try_url_decode(raw), raw)
 
 

@@ -12,7 +12,7 @@ R = Registry()
 POLICY = urls.HostPolicy(hosts=(".example.com", ".example.net"), canonical="www.shop.example", parameter="page")
 HOST_SQL = r"nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '')"
 PATH_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
-PARAM_SQL = r"nullif(regexp_extract(url, '^[^?#]*\?(?:[^#]*&)??{0}=([^&#]+)', 1), '')"
+PARAM_SQL = r"nullif(regexp_extract(url, '^[^?#]*\?(?:[^#]*?&)??{0}=([^&#]+)', 1), '')"
 LINKS_SQL = r"""links AS (
   SELECT page_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS href
   FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages))"""
