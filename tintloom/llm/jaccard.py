@@ -4,13 +4,14 @@ Any two sets of Jaccard similarity 0.8 share an element among the first n - ceil
 common order of elements. The order here is: elements that many sets hold ("heavy") last, else by hash. The
 index lists of these prefix elements are worked in two rounds.
 
-1. Answers of a pivot. The pivot of a list is its smallest document. Every set is compared with the pivot
+1. Answers of a pivot. The pivot of a list is its smallest document, or of a heavy element the set with the
+   largest share of heavy elements, which is the least edited one. Every set is compared with the pivot
    that it shares most prefix elements with, if these are enough for similarity. Groups of near copies come
    together here at a cost that is linear in their size.
 2. The rest. Lists whose sets are in several components then give the pairs that the first round left open.
    A list is cut into blocks by set size and prefix position, and blocks whose best possible overlap with a
-   set is too small are skipped. In lists of heavy elements a set's answers derive from its pivot's: by the
-   triangle inequality of the Jaccard distance, |d(pivot, x) - d(pivot, y)| > 0.2 rules x and y out.
+   set is too small are skipped. Sets that meet in lists of heavy elements lie around a pivot; what they hold
+   of it and beyond is written down once, and the overlaps of those that its answers left apart derive from that.
 
 Equal sets count as one throughout. Pairs in one component aren't compared again: no link between components
 can be lost, and components are what is returned.
@@ -27,14 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import release, slices, stored, utf8
+from tintloom.llm.common import discard, release, slices, small_batches, stored, utf8
 from tintloom.llm.components import components
 from tintloom.llm.scan import Words, short_window, windows
 
 SHINGLE = 5
 #: An element is heavy if it is in one of HEAVY_SHARE sets or more of a chunk; the HEAVY_MOST most frequent are set apart.
 HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 1000, 32, 100_000, 1 << 20
-PIECE, BLOCK = 2 << 20, 64
+PIECE, BLOCK = 1 << 19, 64
+#: Sets of a block in the comparison around a pivot.
+BALL = 1000
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -85,9 +88,9 @@ def heavy_elements(docs: DataFrame) -> np.ndarray:
 
 
 def prefix_table(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(doc_id, n, k1, k2, light, heavy): size, digest and prefix elements of every row's set."""
+    """(doc_id, n, common, k1, k2, light, heavy): size, number of heavy elements, digest and prefix elements of every row's set."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
-    schema = "doc_id long, n long, k1 long, k2 long, light array<long>, heavy array<long>"
+    schema = "doc_id long, n long, common long, k1 long, k2 long, light array<long>, heavy array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
@@ -101,10 +104,10 @@ def prefix_table(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                     light, rest = s[~late][:p], s[late]
                 else:
                     light, rest = s[:p], s[:0]
-                rows.append((len(s), digest[0], digest[1], light, rest[: p - len(light)]))
-            n, k1, k2, light, late = zip(*rows, strict=True) if rows else ([],) * 5
+                rows.append((len(s), len(rest), digest[0], digest[1], light, rest[: p - len(light)]))
+            n, common, k1, k2, light, late = zip(*rows, strict=True) if rows else ([],) * 6
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(light, longs), pa.array(late, longs)], ["doc_id", "n", "k1", "k2", "light", "heavy"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(common, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(light, longs), pa.array(late, longs)], ["doc_id", "n", "common", "k1", "k2", "light", "heavy"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -159,44 +162,42 @@ def _similar(overlap: Column, na: Column, nb: Column) -> Column:
     return 100 * overlap >= 80 * (na + nb - overlap)
 
 
-def _sizes_fit(na: Column, nb: Column) -> Column:
-    return (5 * na >= 4 * nb) & (5 * nb >= 4 * na)
-
+def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """The stored table (a, b, na, nb, overlap) of members (a, b, text) with the texts of heads (a, text).
 
-def _sets_of(texts: DataFrame, name: str) -> DataFrame:
-    """The stored table (pivot, node, n, elements) of rows (pivot, node, text)."""
+    Texts move instead of sets: they are shorter. Rows of one head come together, so its set is made once.
+    """
+    schema = "a long, b long, na long, nb long, overlap long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
-            sets = shingle_sets(utf8(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["pivot", "node", "n", "elements"])
-
-    return stored(texts.mapInArrow(run, "pivot long, node long, n long, elements array<long>"), name)
-
-
-def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """(a, b, na, nb, overlap) of every member with its pivot."""
-    b = members.select("pivot", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("eb"))
-    a = heads.select(F.col("node").alias("pivot"), F.col("n").alias("na"), F.col("elements").alias("ea"))
-    return b.join(a, "pivot").select(F.col("pivot").alias("a"), "b", "na", "nb", F.size(F.array_intersect("ea", "eb")).cast("long").alias("overlap"))
+            first = utf8(batch.column("head"))
+            changes = [i for i, t in enumerate(first) if i == 0 or t != first[i - 1]]
+            heads = shingle_sets([first[i] for i in changes])
+            which = np.searchsorted(changes, np.arange(len(first)), side="right") - 1
+            counts = []
+            for k, b in zip(which.tolist(), shingle_sets(utf8(batch.column("text"))), strict=True):
+                a = heads[k]
+                common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()) if len(a) else 0
+                counts.append((len(a), len(b), common))
+            n = np.array(counts, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(n[:, i]) for i in range(3)]], ["a", "b", "na", "nb", "overlap"])
+
+    joined = members.join(heads.withColumnRenamed("text", "head"), "a").select("a", "b", "text", "head")
+    return stored(joined.mapInArrow(run, schema), "answers")
 
 
 def compare_with_pivots(docs: DataFrame, tried: DataFrame) -> DataFrame:
-    """The stored table (a, b, na, nb, overlap) of pairs (a, b) in which every b has one a; each set moves once."""
-    heads = tried.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("pivot"))
-    wanted = stored(tried.select(F.col("b").alias("node"), F.col("a").alias("pivot")).union(heads), "wanted")
-    sets = _sets_of(docs.withColumnRenamed("doc_id", "node").join(wanted, "node"), "sets")
-    release(docs.sparkSession)
-    return stored(_overlaps(sets.where("pivot <> node"), sets.where("pivot = node")), "answers")
+    """The stored table (a, b, na, nb, overlap) of pairs (a, b) in which every b has one a; each text moves once more."""
+    heads = tried.select("a").distinct().select("a", F.col("a").alias("b"))
+    wanted = stored(tried.select("a", "b").union(heads), "wanted")
+    texts = docs.withColumnRenamed("doc_id", "b").join(wanted, "b")
+    return _overlaps(texts.where("a <> b"), texts.where("a = b").select("a", "text"))
 
 
 def compare_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b)."""
-    nodes = stored(pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("pivot")), "nodes")
-    sets = _sets_of(docs.withColumnRenamed("doc_id", "node").join(nodes, "node"), "sets")
-    release(docs.sparkSession)
-    members = pairs.select(F.col("a").alias("pivot"), F.col("b").alias("node")).join(sets.drop("pivot"), "node")
-    return stored(_overlaps(members, sets), "answers")
+    return _overlaps(docs.withColumnRenamed("doc_id", "b").join(pairs, "b"), docs.withColumnRenamed("doc_id", "a"))
 
 
 def open_light_pairs(lists: DataFrame) -> DataFrame:
@@ -268,6 +269,50 @@ def open_light_pairs(lists: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
+def links_across(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The stored links (a, b) between components among the sets around each pivot.
+
+    `placed` has pivot, node, component and home, the pivot's component. Sets of one component aren't compared;
+    so of each pivot with sets of other components, those strays are compared with all. They meet in pairs of
+    blocks of at most about BALL sets: a block's sets are written as rows over the elements that several of
+    them hold, mostly the pivot's, and one product of the two matrices gives every overlap. A stray's links to
+    several sets of one component are one link.
+    """
+    sizes = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("component") != F.col("home")).alias("strays")).where("strays > 0")
+    blocks = F.ceil(F.col("sets") / BALL).cast("int")
+    members = placed.join(stored(sizes, "balls"), "pivot").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(members, "members"), "node").select("pivot", "node", "component", "home", "blocks", "block", "text"), "ball-texts")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    mine, theirs = F.col("block").alias("mine"), F.col("block").alias("theirs")
+    strays = texts.where("component <> home").select("pivot", mine, every.alias("theirs"), "node", "component", F.lit(True).alias("stray"), "text")
+    all_ = texts.select("pivot", every.alias("mine"), theirs, "node", "component", F.lit(False).alias("stray"), "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        stray = table.column("stray").to_numpy()
+        found: tuple[np.ndarray, np.ndarray] = np.empty(0, np.int64), np.empty(0, np.int64)
+        if stray.any() and not stray.all():
+            node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+            sets = shingle_sets([b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()])
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            values, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            columns = np.cumsum(counts > 1) - 1
+            keep = counts[which] > 1
+            rows = np.zeros((len(sets), int(columns[-1]) + 1 if len(columns) else 0), np.float32)
+            rows[np.repeat(np.arange(len(sets)), n)[keep], columns[which[keep]]] = 1
+            i, j = np.flatnonzero(stray), np.flatnonzero(~stray)
+            overlap = (rows[i] @ rows[j].T).astype(np.int64)
+            x, y = np.nonzero((component[i][:, None] != component[j]) & (9 * overlap >= 4 * (n[i][:, None] + n[j])) & (overlap > 0))
+            _, first = np.unique(np.stack([i[x], component[j[y]]]), axis=1, return_index=True)
+            found = node[i[x[first]]], node[j[y[first]]]
+        return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1])})
+
+    links = strays.unionByName(all_).groupBy("pivot", "mine", "theirs").applyInArrow(compare, "a long, b long")
+    found = stored(links.distinct(), "across")
+    discard(texts)
+    release(docs.sparkSession)
+    return found
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs` (doc_id, text).
 
@@ -277,21 +322,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts, if those have an id, and else in none (null). Repeated rows stay; further columns are left out.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(prefix_table(docs, heavy_elements(docs)), "prefixes")
+    prefixes = stored(prefix_table(docs, heavy_elements(docs)), "prefixes")
+    sets = stored(prefixes.select("doc_id", "n", "k1", "k2"), "digests")
     classes = stored(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
-    leaders = sets.where("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"], "left_semi")
-    leaders = leaders.select(F.col("doc_id").alias("node"), "n", "light", "heavy")
+    leaders = prefixes.where("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"], "left_semi")
+    leaders = leaders.select(F.col("doc_id").alias("node"), "n", "common", "light", "heavy")
 
     # Round 1: every set against the pivot with which it shares most, if they can be similar at all.
     light = stored(light_lists(leaders.select("node", "n", F.posexplode("light").alias("pos", "element")).select("element", "node", "n", "pos")), "light")
     release(spark)
-    late = stored(leaders.where(F.size("heavy") > 0).select("node", "n", F.explode("heavy").alias("element")), "heavy")
-    pivots = stored(late.groupBy("element").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"), "pivots")
+    late = stored(leaders.where(F.size("heavy") > 0).select("node", "n", (F.col("common") / F.col("n")).alias("central"), F.explode("heavy").alias("element")), "heavy")
+    pivots = stored(late.groupBy("element").agg((-F.max(F.struct("central", (-F.col("node")).alias("low")))["low"]).alias("pivot"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"), "pivots")
     late = stored(late.join(pivots, "element"), "heavy-lists")
     met = light.select("pivot", "node", F.lit(1).alias("shared"), F.lit(0).alias("late")).union(late.select("pivot", "node", F.lit(0), F.lit(1)))
     stars = stored(met.where("pivot <> node").groupBy("pivot", "node").agg(F.sum("shared").alias("shared"), F.sum("late").alias("late")), "stars")
     reach = stored(leaders.groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.size("heavy")).alias("h")), "reach")
+    discard(prefixes)
+    release(spark)
     side = lambda x: reach.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "most", "h")])
     # Other common elements are heavy ones of both prefixes, or stand behind one of the prefixes.
     behind = F.greatest(F.ceil(F.col("mosta") * 4 / 5), F.ceil(F.col("mostb") * 4 / 5)) - 1
@@ -312,20 +361,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = stored(open_light_pairs(of(light.join(mixed, "element", "left_semi"), "node", "component")), "shared")
     open_light = shared.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
 
-    distance = (1 - F.col("overlap") / (F.col("na") + F.col("nb") - F.col("overlap"))).alias("d")
-    from_pivot = answers.select(F.col("a").alias("pivot"), F.col("b").alias("node"), distance).groupBy("pivot", "node").agg(F.min("d").alias("near"), F.max("d").alias("far"))
-    bound = lambda c, unknown: F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce(c, F.lit(unknown))).alias(c)
-    known = late.join(from_pivot, ["pivot", "node"], "left").select("element", "pivot", "node", "n", bound("near", 0.0), bound("far", 1.0))
-    placed = stored(of(of(known, "node", "component"), "pivot", "home"), "placed")
-    columns = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("node", "n", "component", "near", "far")]
-    strays = placed.where("component <> home").select("element", *columns("a"))
-    pairs = strays.join(placed.select("element", *columns("b")), "element").where("componenta <> componentb").where(_sizes_fit(F.col("na"), F.col("nb")))
-    pairs = pairs.where((F.col("neara") - F.col("farb") <= 0.2000001) & (F.col("nearb") - F.col("fara") <= 0.2000001))
-    open_heavy = pairs.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
-    rest = stored(open_light.union(open_heavy).distinct(), "rest")
+    placed = stored(of(of(late.select("pivot", "node").distinct(), "node", "component"), "pivot", "home"), "placed")
+    across = links_across(docs, placed)
+    rest = stored(open_light.distinct(), "rest")
     final = joined
-    if not rest.isEmpty():
-        more = compare_pairs(docs, rest).where(similar).select("a", "b")
+    more = stored(across.union(compare_pairs(docs, rest).where(similar).select("a", "b")), "more")
+    if not more.isEmpty():
         final = stored(components(links.union(more)), "round-2")
     release(spark)
 
