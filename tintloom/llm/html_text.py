@@ -147,7 +147,8 @@ def best_container(elements: list[Element], pieces: list[tuple[Element, str, boo
             up.score += e.score * PARENT
         if e.tag in CONTAINERS and not e.dropped and e.score > 0 and (best is None or e.score >= best.score):
             best = e
-    return best
+    # Text outside of any container belongs to the page itself.
+    return best if best is not None else elements[0] if elements[0].chars else None
 
 
 def text_of(elements: list[Element], pieces: list[tuple[Element, str, bool]], roots: list[Element]) -> str:
@@ -168,7 +169,7 @@ def text_of(elements: list[Element], pieces: list[tuple[Element, str, bool]], ro
 def vote(page: str | None) -> str | None:
     """The generalised path of a page's best container."""
     best = best_container(*parse(page)) if page else None
-    return best.path if best else None
+    return best.path or None if best else None
 
 
 def extract(page: str | None, path: str | None) -> str:
