@@ -195,9 +195,9 @@ def compare_with_pivots(docs: DataFrame, tried: DataFrame) -> DataFrame:
     return _overlaps(texts.where("a <> b"), texts.where("a = b").select("a", "text"))
 
 
-def compare_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b)."""
-    return _overlaps(docs.withColumnRenamed("doc_id", "b").join(pairs, "b"), docs.withColumnRenamed("doc_id", "a"))
+def compare_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b), from texts (node, text)."""
+    return _overlaps(texts.withColumnRenamed("node", "b").join(pairs, "b"), texts.withColumnRenamed("node", "a"))
 
 
 def open_light_pairs(lists: DataFrame) -> DataFrame:
@@ -265,23 +265,28 @@ def open_light_pairs(lists: DataFrame) -> DataFrame:
         if rest is not None:
             yield from emit(rest)
 
-    dealt = lists.select("element", "node", "n", F.col("pos").cast("long").alias("pos"), "component").repartition("element").sortWithinPartitions("element")
+    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lists.select("element", "node", "n", F.col("pos").cast("long").alias("pos"), "component").repartition(partitions, "element").sortWithinPartitions("element")
     return dealt.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def links_across(docs: DataFrame, placed: DataFrame) -> DataFrame:
+def around_pivots(placed: DataFrame) -> DataFrame:
+    """The rows of `placed` (pivot, node, component, home) of pivots with sets of several components, with their block and number of blocks."""
+    sizes = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("component") != F.col("home")).alias("strays")).where("strays > 0")
+    members = placed.join(stored(sizes, "ball-sizes"), "pivot").withColumn("blocks", F.ceil(F.col("sets") / BALL).cast("int"))
+    return members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("sets", "strays")
+
+
+def links_across(texts: DataFrame, balls: DataFrame) -> DataFrame:
     """The stored links (a, b) between components among the sets around each pivot.
 
-    `placed` has pivot, node, component and home, the pivot's component. Sets of one component aren't compared;
-    so of each pivot with sets of other components, those strays are compared with all. They meet in pairs of
+    `balls` is what `around_pivots` returns, `texts` has node and text. Sets of one component aren't compared;
+    so the strays, those of other components than the pivot's, are compared with all. They meet in pairs of
     blocks of at most about BALL sets: a block's sets are written as rows over the elements that several of
     them hold, mostly the pivot's, and one product of the two matrices gives every overlap. A stray's links to
     several sets of one component are one link.
     """
-    sizes = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("component") != F.col("home")).alias("strays")).where("strays > 0")
-    blocks = F.ceil(F.col("sets") / BALL).cast("int")
-    members = placed.join(stored(sizes, "balls"), "pivot").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(members, "members"), "node").select("pivot", "node", "component", "home", "blocks", "block", "text"), "ball-texts")
+    texts = balls.join(texts, "node")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     mine, theirs = F.col("block").alias("mine"), F.col("block").alias("theirs")
     strays = texts.where("component <> home").select("pivot", mine, every.alias("theirs"), "node", "component", F.lit(True).alias("stray"), "text")
@@ -307,10 +312,7 @@ def links_across(docs: DataFrame, placed: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1])})
 
     links = strays.unionByName(all_).groupBy("pivot", "mine", "theirs").applyInArrow(compare, "a long, b long")
-    found = stored(links.distinct(), "across")
-    discard(texts)
-    release(docs.sparkSession)
-    return found
+    return stored(links.distinct(), "across")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -362,10 +364,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_light = shared.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
 
     placed = stored(of(of(late.select("pivot", "node").distinct(), "node", "component"), "pivot", "home"), "placed")
-    across = links_across(docs, placed)
     rest = stored(open_light.distinct(), "rest")
+    balls = stored(around_pivots(placed), "balls")
+    # One more pass over the texts, for those that still have something open.
+    nodes = balls.select("node").union(rest.select("a")).union(rest.select("b")).distinct()
+    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(nodes, "open-nodes"), "node"), "open-texts")
+    release(spark)
+    across = links_across(texts, balls)
     final = joined
-    more = stored(across.union(compare_pairs(docs, rest).where(similar).select("a", "b")), "more")
+    more = stored(across.union(compare_pairs(texts, rest).where(similar).select("a", "b")), "more")
     if not more.isEmpty():
         final = stored(components(links.union(more)), "round-2")
     release(spark)
