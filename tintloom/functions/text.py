@@ -36,7 +36,7 @@ def strip(text: Column) -> Column:
 
 
 def none_if_empty(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.nullif(text, F.lit(""))
 
 
 def optional_text(text: Column) -> Column:

@@ -28,12 +28,13 @@ def catalogue_tables(inventory: DataFrame, pages: DataFrame, policy: HostPolicy,
     first in that order stays. A page that can't be parsed is a failure; a product is completed if its own page was parsed.
     """
     fetched = pages.select("url", "html").dropDuplicates(["url"])
-    first = product_rows(raw_pages(inventory.select(F.col("product_url").alias("url")).distinct().join(fetched, "url")), policy).alias("own")
+    # Each page is parsed once, however many tables are made of it.
+    first = product_rows(raw_pages(inventory.select(F.col("product_url").alias("url")).distinct().join(fetched, "url")), policy).persist()
     own = inventory.select("listing_position", F.col("product_id").alias("inventory_id"), F.col("product_url").alias("url")).join(first, "url", "left")
     wanted = own.where("error is null").select("listing_position", "inventory_id", F.posexplode("variant_urls").alias("at", "url"))
     known = own.select("listing_position", "inventory_id", F.lit(-1).alias("at"), "url", "product", "variant", "ingredient", F.when(F.col("product").isNull(), F.coalesce("error", F.lit("page not found"))).alias("error"))
     more_urls = wanted.join(known.where("variant is not null").select(F.col("variant.variant_url").alias("url")).distinct(), "url", "left_anti")
-    parsed = product_rows(raw_pages(more_urls.select("url").distinct().join(fetched, "url")), policy)
+    parsed = product_rows(raw_pages(more_urls.select("url").distinct().join(fetched, "url")), policy).persist()
     more = more_urls.join(parsed, "url", "left").select("listing_position", "inventory_id", "at", "url", "product", "variant", "ingredient", F.when(F.col("product").isNull(), F.coalesce("error", F.lit("page not found"))).alias("error"))
     rows = known.unionByName(more)
     order = ["listing_position", "at"]
