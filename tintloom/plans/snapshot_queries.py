@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tintloom.functions import text, urls
-from tintloom.operators import snapshot
+from tintloom.operators import cleaning, snapshot
 from tintloom.plans.tables import Registry, read
 
 R = Registry()
@@ -150,3 +150,21 @@ def key_conflicts(spark, sf_dir):
 def host_validation(spark, sf_dir):
     moved = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "://[^/?#]*", "://media.shop.example")).otherwise(F.col("url"))
     return read(spark, sf_dir, "pages").select("page_id", urls.is_swatch_url(moved, urls.HostPolicy()).alias("valid"))
+
+
+@R.query("""WITH v AS (SELECT p_partkey, p_brand, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_retailprice - 1 ELSE p_retailprice END AS effective_price,
+    CASE p_partkey % 4 WHEN 0 THEN p_size * 2.0::DOUBLE WHEN 3 THEN NULL ELSE p_size::DOUBLE END AS size_value, ['oz', 'fl oz', 'g', NULL][(p_partkey % 4 + 1)::INT] AS size_unit FROM part)
+  SELECT 'sku' || p_partkey AS sku_id, p_brand AS brand, p_name AS product_name, effective_price, size_value, size_unit,
+    effective_price / CASE size_unit WHEN 'oz' THEN size_value * 28.3495 WHEN 'fl oz' THEN size_value * 29.5735 ELSE size_value END AS price_per_g_ml,
+    CASE WHEN p_partkey % 3 = 0 THEN 'with_swatch' ELSE 'no_swatch' END AS category FROM v""")
+def clean_variants(spark, sf_dir):
+    """Parts as variants with sizes such as `5 (x2) oz`, and one in four with a leaked colour instead of a size."""
+    k, parts = F.col("p_partkey"), read(spark, sf_dir, "part")
+    shown = F.when(k % 4 == 0, F.concat("p_size", F.lit(" (x2) oz"))).when(k % 4 == 1, F.concat("p_size", F.lit(" FL OZ"))).when(k % 4 == 2, F.concat("p_size", F.lit("g"))).otherwise("Color: Light")
+    product = F.concat(F.lit("prod"), k).alias("product_id")
+    variants = parts.select(
+        product, F.concat(F.lit("sku"), k).alias("sku_id"), F.col("p_type").alias("variant_name"), F.lit("").alias("variant_url"), F.when(k % 3 == 0, "https://media.shop.example/i/x").alias("swatch_image_url"), F.lit("").alias("variant_image_url"),
+        F.col("p_retailprice").alias("list_price"), F.when(k % 2 == 0, F.col("p_retailprice") - 1).alias("sale_price"), shown.alias("size_text"),
+    )
+    products = parts.select(product, F.col("p_brand").alias("brand"), F.col("p_name").alias("product_name"))
+    return cleaning.cleaned(variants, products).select("sku_id", "brand", "product_name", "effective_price", "size_value", "size_unit", "price_per_g_ml", "category")
