@@ -34,7 +34,7 @@ from tintloom.llm.scan import Words, short_window, windows
 
 SHINGLE = 5
 #: An element is heavy if it is in one of HEAVY_SHARE sets or more of a chunk; the HEAVY_MOST most frequent are set apart.
-HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 1000, 32, 100_000, 1 << 20
+HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 5000, 32, 400_000, 8 << 20
 PIECE, BLOCK = 1 << 19, 64
 #: Sets of a block in the comparison around a pivot.
 BALL = 1000
@@ -165,7 +165,8 @@ def _similar(overlap: Column, na: Column, nb: Column) -> Column:
 def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
     """The stored table (a, b, na, nb, overlap) of members (a, b, text) with the texts of heads (a, text).
 
-    Texts move instead of sets: they are shorter. Rows of one head come together, so its set is made once.
+    Texts move instead of sets: they are shorter. The joins with texts are never broadcast, as no side has a
+    bound. Rows of one head come together, so its set is made once.
     """
     schema = "a long, b long, na long, nb long, overlap long"
 
@@ -183,7 +184,7 @@ def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
             n = np.array(counts, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(n[:, i]) for i in range(3)]], ["a", "b", "na", "nb", "overlap"])
 
-    joined = members.join(heads.withColumnRenamed("text", "head"), "a").select("a", "b", "text", "head")
+    joined = members.join(heads.withColumnRenamed("text", "head").hint("merge"), "a").select("a", "b", "text", "head")
     return stored(joined.mapInArrow(run, schema), "answers")
 
 
@@ -191,13 +192,13 @@ def compare_with_pivots(docs: DataFrame, tried: DataFrame) -> DataFrame:
     """The stored table (a, b, na, nb, overlap) of pairs (a, b) in which every b has one a; each text moves once more."""
     heads = tried.select("a").distinct().select("a", F.col("a").alias("b"))
     wanted = stored(tried.select("a", "b").union(heads), "wanted")
-    texts = docs.withColumnRenamed("doc_id", "b").join(wanted, "b")
+    texts = docs.withColumnRenamed("doc_id", "b").join(wanted.hint("merge"), "b")
     return _overlaps(texts.where("a <> b"), texts.where("a = b").select("a", "text"))
 
 
 def compare_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b), from texts (node, text)."""
-    return _overlaps(texts.withColumnRenamed("node", "b").join(pairs, "b"), texts.withColumnRenamed("node", "a"))
+    return _overlaps(texts.withColumnRenamed("node", "b").join(pairs.hint("merge"), "b"), texts.withColumnRenamed("node", "a"))
 
 
 def open_light_pairs(lists: DataFrame) -> DataFrame:
@@ -368,7 +369,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     balls = stored(around_pivots(placed), "balls")
     # One more pass over the texts, for those that still have something open.
     nodes = balls.select("node").union(rest.select("a")).union(rest.select("b")).distinct()
-    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(nodes, "open-nodes"), "node"), "open-texts")
+    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(nodes, "open-nodes").hint("merge"), "node"), "open-texts")
     release(spark)
     across = links_across(texts, balls)
     final = joined
