@@ -34,7 +34,7 @@ from tintloom.llm.scan import Words, short_window, windows
 
 SHINGLE = 5
 #: An element is heavy if it is in one of HEAVY_SHARE sets or more of a chunk; the HEAVY_MOST most frequent are set apart.
-HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 5000, 32, 400_000, 8 << 20
+HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 10_000, 32, 400_000, 8 << 20
 PIECE, BLOCK = 1 << 19, 64
 #: Sets of a block in the comparison around a pivot.
 BALL = 1000
@@ -69,7 +69,7 @@ def heavy_elements(docs: DataFrame) -> np.ndarray:
 
         def report() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            often = counts >= max(4, len(waiting) / HEAVY_SHARE)
+            often = counts >= max(2, len(waiting) / HEAVY_SHARE)
             return pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(counts[often].astype(np.int64))], ["element", "n"])
 
         for batch in slices(batches, "text", PIECE):
@@ -84,7 +84,7 @@ def heavy_elements(docs: DataFrame) -> np.ndarray:
 
     counts = docs.select("text").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= HEAVY_LEAST).orderBy(F.desc("n"), "element").limit(HEAVY_MOST)
-    return np.sort(np.array([r[0] for r in top.select("element").collect()], np.int64))
+    return np.sort(top.select("element").toArrow().column(0).to_numpy())
 
 
 def prefix_table(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
