@@ -378,6 +378,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         final = stored(components(links.union(more)), "round-2")
     release(spark)
 
-    named = classes.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
-    result = sets.select("doc_id", "n", "k1", "k2").join(stored(named, "named"), ["k1", "k2"], "left")
+    named = stored(classes.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id")), "named")
+    discard(light, late, stars, reach, tried, answers, apart, mixed, shared, placed, rest, balls, texts, across, more, classes)
+    release(spark)
+    result = sets.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
