@@ -261,6 +261,13 @@ def test_language_model(spark):
     assert lm_score.score(docs.limit(0), *lm_score.train(docs.limit(0))).count() == 0
 
 
+def test_language_model_learns_from_every_position(spark):
+    text = " ".join(f"w{i}" for i in range(16))
+    vocabulary, net = lm_score.train(docs_of(spark, [(i, text) for i in range(3000)]))
+    ids, context, _ = lm_score.Reader(vocabulary)([text.encode()])
+    assert lm_score.log_probabilities(net, ids, context).min() > -3
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = lm_score.Network(*[p.astype(np.float64) for p in lm_score.new_network()])

@@ -5,7 +5,7 @@ summed and squashed, and the word is predicted in two steps, its class and its p
 vocabulary is the most frequent words of the whole corpus, and hashed buckets for all others. Training runs
 where the data are: in each round every task takes Adagrad steps from the same weights on its part of the
 corpus, and the tasks' weights are averaged, by groups of GROUP until few are left for the driver. What is
-counted and averaged grows with the corpus; every document takes part with one in STRIDE of its positions.
+counted and averaged grows with the corpus; every word of every text is predicted once, in one of the rounds.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from tintloom.llm.scan import Words
 CLASSES, PER_CLASS, BUCKETS, WIDTH = 32, 32, 64, 16
 VOCABULARY = CLASSES * PER_CLASS
 OFFSETS = (-2, -1, 1, 2)
-#: Rounds of training, one in STRIDE positions of a text in each, words in a step, and its rate.
-ROUNDS, STRIDE, STEP_WORDS, RATE = 2, 16, 1024, 0.15
+#: Rounds of training, which share out the positions of a text between them, words in a step, and its rate.
+ROUNDS, STEP_WORDS, RATE = 2, 1024, 0.15
 #: A chunk of words reports those that make up one in COUNT_SHARE of it.
 CHUNK, COUNT_SHARE, GROUP, BLOCK, PIECE = 1 << 20, 50_000, 32, 8192, 1 << 19
 
@@ -102,6 +102,11 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
+
+
 def _hidden(net: Network, context: np.ndarray) -> np.ndarray:
     total = net.bias + net.embed[0][context[0]]
     for k in range(1, len(OFFSETS)):
@@ -132,24 +137,35 @@ def gradients(net: Network, ids: np.ndarray, context: np.ndarray) -> Network:
     group, place = ids // PER_CLASS, ids % PER_CLASS
     hidden = _hidden(net, context)
     g = Network(*[np.zeros_like(p) for p in net])
-    delta = np.exp(_log_softmax(hidden @ net.to_class + net.class_bias))
+    delta = _softmax(hidden @ net.to_class + net.class_bias)
     delta[np.arange(n), group] -= 1
     delta /= n
     g.to_class[:] = hidden.T @ delta
     g.class_bias[:] = delta.sum(axis=0)
     back = delta @ net.to_class.T
-    for c in np.unique(group).tolist():
-        at = np.flatnonzero(group == c)
-        inner = np.exp(_log_softmax(hidden[at] @ net.to_word[c] + net.word_bias[c]))
-        inner[np.arange(len(at)), place[at]] -= 1
-        inner /= n
-        g.to_word[c] = hidden[at].T @ inner
-        g.word_bias[c] = inner.sum(axis=0)
-        back[at] += inner @ net.to_word[c].T
+    # The words in order of their classes, so that each class is one slice.
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.diff(group[order], prepend=-1))
+    cuts = [*first.tolist(), n]
+    classes, parts = group[order[first]], [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    inside = hidden[order]
+    inner = net.word_bias[group[order]]
+    for c, at in zip(classes, parts, strict=True):
+        inner[at] += inside[at] @ net.to_word[c]
+    inner = _softmax(inner)
+    inner[np.arange(n), place[order]] -= 1
+    inner /= n
+    g.word_bias[classes] = np.add.reduceat(inner, first, axis=0)
+    below = np.empty_like(inside)
+    for c, at in zip(classes, parts, strict=True):
+        g.to_word[c] = inside[at].T @ inner[at]
+        below[at] = inner[at] @ net.to_word[c].T
+    back[order] += below
     back *= 1 - hidden * hidden
     g.bias[:] = back.sum(axis=0)
     for k in range(len(OFFSETS)):
-        np.add.at(g.embed[k], context[k], back)
+        cells = context[k][:, None] * WIDTH + np.arange(WIDTH, dtype=context.dtype)
+        g.embed[k] = np.bincount(cells.ravel(), back.ravel(), g.embed[k].size).reshape(g.embed[k].shape)
     return g
 
 
@@ -178,7 +194,7 @@ def train_round(docs: DataFrame, vocabulary: np.ndarray, net: Network, turn: int
         trained, ids, contexts, waiting = 0, [], [], 0
         for batch in slices(batches, "text", PIECE):
             word, context, first = reader(utf8(batch.column("text")))
-            at = np.flatnonzero((np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))) % STRIDE == turn)
+            at = np.flatnonzero((np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))) % ROUNDS == turn)
             ids.append(word[at])
             contexts.append(context[:, at])
             waiting += len(at)
@@ -219,7 +235,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, Network]:
     small_batches(docs.sparkSession)
     vocabulary, net = frequent_words(docs), new_network()
     for turn in range(ROUNDS):
-        net = train_round(docs, vocabulary, net, turn * STRIDE // ROUNDS)
+        net = train_round(docs, vocabulary, net, turn)
     return vocabulary, net
 
 
