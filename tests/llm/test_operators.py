@@ -268,6 +268,30 @@ def test_language_model_learns_from_every_position(spark):
     assert lm_score.log_probabilities(net, ids, context).min() > -3
 
 
+@pytest.mark.parametrize("common", [lm_score.COMMON, 100])
+def test_language_model_tells_words_of_a_bucket_apart(spark, monkeypatch, common):
+    monkeypatch.setattr(lm_score, "COMMON", common)
+    rng = random.Random(3)
+    texts = [" ".join([f"w{int(rng.paretovariate(0.5)) % 9999}" for _ in range(200)] + ["everywhere"] * (i < 3)) for i in range(150)]
+    counts = Counter(w for t in texts for w in t.split())
+    docs = docs_of(spark, [*enumerate(texts), (None, texts[0]), (None, "unseen w1")])
+    vocabulary, net = lm_score.train(docs.where(F.col("doc_id").isNotNull()))
+    reader, words = lm_score.Reader(vocabulary), [*counts, "unseen"]
+    ids = reader([" ".join(words).encode()])[0].tolist()
+    number, buckets = dict(zip(words, ids, strict=True)), Counter()
+    for w, n in counts.items():
+        buckets[number[w]] += n
+    assert len(vocabulary.listed) == 960 and counts["everywhere"] == 3
+    assert sorted((counts[w] for w in words if number[w] < 960), reverse=True) == sorted(counts.values(), reverse=True)[:960]
+    found = Counter((r.doc_id, r.n_words, r.log_likelihood) for r in lm_score.score(docs, vocabulary, net).collect())
+    assert sum(found.values()) == 152
+    for doc, text in [*enumerate(texts), (None, texts[0]), (None, "unseen w1")]:
+        ids, context, _ = reader([text.encode()])
+        want = lm_score.log_probabilities(net, ids, context).sum()
+        want += sum(np.log((counts[w] or 0.5) / (buckets[number[w]] + 0.5)) for w in text.split() if number[w] >= 960)
+        assert any(d == doc and n == len(text.split()) and got == pytest.approx(want, abs=0.03) for d, n, got in found)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = lm_score.Network(*[p.astype(np.float64) for p in lm_score.new_network()])

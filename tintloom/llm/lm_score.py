@@ -2,7 +2,10 @@
 
 The network predicts a word from the two words before and the two after it: position-wise embeddings are
 summed and squashed, and the word is predicted in two steps, its class and its place in the class. The
-vocabulary is the most frequent words of the whole corpus, and hashed buckets for all others. Training runs
+network lists the most frequent words of the whole corpus, and has hashed buckets for all others. A word of a
+bucket has its share of the bucket's count in the corpus, so every word has a probability of its own; an unseen
+one counts as UNSEEN. The COMMON most frequent words are sent to the tasks that score, counts of all others are
+joined. Training runs
 where the data are: in each round every task takes Adagrad steps from the same weights on its part of the
 corpus, and the tasks' weights are averaged, by groups of GROUP until few are left for the driver. What is
 counted and averaged grows with the corpus; every word of every text is predicted once, in one of the rounds.
@@ -26,8 +29,9 @@ VOCABULARY = CLASSES * PER_CLASS
 OFFSETS = (-2, -1, 1, 2)
 #: Rounds of training, which share out the positions of a text between them, words in a step, and its rate.
 ROUNDS, STEP_WORDS, RATE = 2, 1024, 0.15
-#: A chunk of words reports those that make up one in COUNT_SHARE of it.
-CHUNK, COUNT_SHARE, GROUP, BLOCK, PIECE = 1 << 20, 50_000, 32, 8192, 1 << 19
+#: What all words that the corpus lacks count in each bucket, and the words whose counts are broadcast.
+UNSEEN, COMMON = 0.5, 1 << 18
+CHUNK, GROUP, BLOCK, PIECE = 1 << 20, 32, 8192, 1 << 19
 
 
 class Network(NamedTuple):
@@ -45,8 +49,16 @@ def new_network(seed: int = 7) -> Network:
     return Network(small(len(OFFSETS), VOCABULARY + 1, WIDTH), np.zeros(WIDTH, np.float32), small(WIDTH, CLASSES), np.zeros(CLASSES, np.float32), small(CLASSES, WIDTH, PER_CLASS), np.zeros((CLASSES, PER_CLASS), np.float32))
 
 
-def frequent_words(docs: DataFrame) -> np.ndarray:
-    """The hashes of the most frequent words of all texts, most frequent first."""
+class Vocabulary(NamedTuple):
+    listed: np.ndarray  # hashes of the words that the network lists, most frequent first
+    common: np.ndarray  # sorted hashes of the words whose counts are broadcast
+    common_logs: np.ndarray  # logarithms of their counts
+    bucket_logs: np.ndarray  # logarithm of each bucket's count
+    rare: DataFrame | None  # (word, n) of all words that are not common
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """The stored counts (word, n) of all words of all texts, by their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
@@ -54,8 +66,7 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
 
         def report() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            often = counts >= max(2, size / COUNT_SHARE)
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
 
         for batch in slices(batches, "text", PIECE):
             hashes = Words(utf8(batch.column("text")), lower=True).hashes()
@@ -67,20 +78,56 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
         if size:
             yield report()
 
-    counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stored(docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary_of(docs: DataFrame) -> Vocabulary:
+    counts = word_counts(docs)
     rows = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS).collect()
-    return np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+    listed = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+    # The common words are those whose counts have the highest powers of two, as many powers as COMMON allows.
+    power, least, size = F.floor(F.log2("n")), 1 << 62, 0
+    for r in sorted(counts.groupBy(power.alias("power")).count().collect(), key=lambda r: -r["power"]):
+        size += r["count"]
+        if size > COMMON:
+            break
+        least = r["power"]
+    found = counts.where(power >= least).toArrow()
+    common, n = found.column("word").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(common)
+    buckets = np.zeros(BUCKETS, np.int64)
+    for r in counts.groupBy(F.shiftrightunsigned("word", 58).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        buckets[r["bucket"]] = r["n"]
+    np.subtract.at(buckets, (listed >> np.uint64(58)).astype(np.int64), np.array([r["n"] for r in rows], np.int64))
+    return Vocabulary(listed, common[order], np.log(n[order]), np.log(buckets + UNSEEN), counts.where(power < least))
 
 
 class Reader:
     """Turns texts into word numbers with their contexts."""
 
-    def __init__(self, vocabulary: np.ndarray):
-        order = np.argsort(vocabulary)
-        self.hashes, self.numbers = vocabulary[order], order.astype(np.int32)
+    def __init__(self, vocabulary: Vocabulary):
+        order = np.argsort(vocabulary.listed)
+        self.hashes, self.numbers, self.vocabulary = vocabulary.listed[order], order.astype(np.int32), vocabulary
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word numbers, their contexts by offset, and the first word of each text."""
+        return self.read(texts)[:3]
+
+    def shares(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithm of each word's share of its bucket, and which words still lack the logarithm of their count."""
+        out, rare = np.zeros(len(ids)), np.zeros(len(ids), bool)
+        at = np.flatnonzero(ids >= VOCABULARY - BUCKETS)
+        out[at] = -self.vocabulary.bucket_logs[ids[at] - (VOCABULARY - BUCKETS)]
+        rare[at] = True
+        if len(self.vocabulary.common):
+            place = np.minimum(np.searchsorted(self.vocabulary.common, h[at]), len(self.vocabulary.common) - 1)
+            known = self.vocabulary.common[place] == h[at]
+            out[at[known]] += self.vocabulary.common_logs[place[known]]
+            rare[at[known]] = False
+        return out, rare
+
+    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What a call gives, and the hashes of the words."""
         words = Words(texts, lower=True)
         h = words.hashes()
         ids = (VOCABULARY - BUCKETS + (h >> np.uint64(58)).astype(np.int32) % BUCKETS).astype(np.int32)
@@ -94,7 +141,7 @@ class Reader:
             here, there = (slice(-o, None), slice(None, o)) if o < 0 else (slice(None, -o), slice(o, None))
             same = owner[here] == owner[there]
             context[k, here][same] = ids[there][same]
-        return ids, context, words.first
+        return ids, context, words.first, h
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -181,9 +228,9 @@ def _network(data: np.ndarray) -> Network:
     return Network(*parts)
 
 
-def train_round(docs: DataFrame, vocabulary: np.ndarray, net: Network, turn: int) -> Network:
+def train_round(docs: DataFrame, vocabulary: Vocabulary, net: Network, turn: int) -> Network:
     """The average of the weights that all tasks reach from `net` on their parts of `docs`, weighted by words."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary._replace(rare=None), net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -230,35 +277,44 @@ def train_round(docs: DataFrame, vocabulary: np.ndarray, net: Network, turn: int
     return _network(sum(np.frombuffer(w, np.float32).astype(np.float64) * n for _, n, w in rows) / sum(n for _, n, _ in rows))
 
 
-def train(docs: DataFrame) -> tuple[np.ndarray, Network]:
+def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
     """Vocabulary and network of a corpus (text)."""
     small_batches(docs.sparkSession)
-    vocabulary, net = frequent_words(docs), new_network()
+    vocabulary, net = vocabulary_of(docs), new_network()
     for turn in range(ROUNDS):
         net = train_round(docs, vocabulary, net, turn)
     return vocabulary, net
 
 
-def score(docs: DataFrame, vocabulary: np.ndarray, net: Network) -> DataFrame:
+def score(docs: DataFrame, vocabulary: Vocabulary, net: Network) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) of every row of `docs` (doc_id, text).
 
     log_likelihood sums the log probability of each word given its neighbours, over the whole text. A text
     without words, or null, has the sum 0 and a null mean. Rows are scored one by one, repeated ones alike;
     no rows give no rows; further columns are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, net))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary._replace(rare=None), net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         vocabulary, net = shared.value
-        reader = Reader(vocabulary)
+        reader, row = Reader(vocabulary), TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", PIECE):
-            ids, context, first = reader(utf8(batch.column("text")))
-            sums = np.concatenate([[0.0], np.cumsum(log_probabilities(net, ids, context))])
-            n = np.diff(first)
+            ids, context, first, hashes = reader.read(utf8(batch.column("text")))
+            shares, rare = reader.shares(ids, hashes)
+            sums = np.concatenate([[0.0], np.cumsum(log_probabilities(net, ids, context) + shares)])
             total = sums[first[1:]] - sums[first[:-1]]
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total), mean], ["doc_id", "n_words", "total", "mean"])
-
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, total double, mean double")
+            ends = np.concatenate([[0], np.cumsum(rare)])[first].astype(np.int32)
+            words = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[rare].view(np.int64)))
+            rows = pa.array(np.arange(row, row + len(total)))
+            row += len(total)
+            yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id"), pa.array(np.diff(first).astype(np.int64)), pa.array(total), words], ["row", "doc_id", "n_words", "total", "rare"])
+
+    found = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n_words long, total double, rare array<long>"), "scores")
+    words = found.select("row", F.explode("rare").alias("word")).join(vocabulary.rare, "word", "left")
+    counts = words.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(UNSEEN)))).alias("more"))
+    total = F.col("total") + F.coalesce("more", F.lit(0.0))
+    mean = F.when(F.col("n_words") > 0, total / F.col("n_words"))
     # The last digits depend on which texts are multiplied together.
-    return found.select("doc_id", "n_words", F.round("total", 2).alias("log_likelihood"), F.round("mean", 4).alias("mean_log_likelihood"))
+    return found.drop("rare").join(counts, "row", "left").select("doc_id", "n_words", F.round(total, 2).alias("log_likelihood"), F.round(mean, 4).alias("mean_log_likelihood"))
