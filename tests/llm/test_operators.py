@@ -350,6 +350,12 @@ def test_html(spark):
     assert html_text.extract_pages(pages).count() == len(rows) and html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_html_attributes():
+    page = """<body><article><h1>Head</h1><p title="a hidden gem">One <a href="/hidden-valley">two</a></p><p data-hidden="false" data-role=banner>Three <a href="/x?id=related">four</a></p>
+<p data-x='class="ad"'>five</p><p/title=x hidden>no</p><p CLASS = 'ad'>no</p><p class=x class=ad>six</p><p title="a"role="banner">no</p><p aria-hidden=true>no</p><p style="display: none">no</p></article></body>"""
+    assert html_text.extract(page, None) == "Head One two Three four five six"
+
+
 def test_html_of_the_tables(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").join(queries.op10_html_text(spark, SF).select("page_id", "text", "n_chars"), "page_id").collect():
         inner = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]

@@ -47,7 +47,9 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>|<[!?/][^>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
+#: An attribute after the one before it: its name, and a quoted or bare value.
+ATTRIBUTE = re.compile(r"([^\s/=>]++|=[^\s/=>]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++)))?+")
+ATTRIBUTES = frozenset("class id role hidden aria-hidden style".split())
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 WORDS, CAMEL = re.compile(r"[a-z]+"), re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -61,7 +63,13 @@ class Element:
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text and not text.isspace() else {}
+    """The attributes of a tag that count here; of a repeated one the first, as in a browser."""
+    out: dict[str, str] = {}
+    if text and not text.isspace():
+        for m in ATTRIBUTE.finditer(text):
+            if (name := m[1].lower()) in ATTRIBUTES and name not in out:
+                out[name] = m[2] or m[3] or m[4] or ""
+    return out
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
