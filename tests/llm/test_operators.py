@@ -356,6 +356,23 @@ def test_html_attributes():
     assert html_text.extract(page, None) == "Head One two Three four five six"
 
 
+def test_html_beside_the_best_container(spark):
+    h, p, more = "<h1>A headline of some words</h1>", "<p>The lead.</p>", "words that go on and on " * 40
+    bodies = {
+        "a": f"<div><article>{h}{p}<div class=body>{more}</div><p>End.</p></article></div>",
+        "b": f"<article>{h}<section>{more}</section>{p}<section>short</section></article><div>other</div>",
+        "c": f"<main>{h}{p}<div class=body>{more}</div></main><div>other</div>",
+        "d": f"<main>{h}<article>{p}<div class=body>{more}</div></article></main>",
+        "e": f"<main><article>{h}{p}<div class=body>{more}</div></article><div><a href=x>Another page of this host</a></div></main>",
+        "f": f"<main><h1>News</h1><article>{h}{p}<div class=body>{more}</div></article><article>Another</article></main>",
+    }
+    pages = spark.createDataFrame([(i, f"http://{k}.example/{i}", f"<html><body>{b}</body></html>") for k, b in bodies.items() for i in range(2)], "page_id long, url string, html string")
+    found = {(r.url[7], r.page_id): r.text for r in html_text.extract_pages(pages).collect()}
+    head, body = "A headline of some words", more.strip()
+    want = {"a": f"{head} The lead. {body} End.", "b": f"{head} {body} The lead. short"} | dict.fromkeys("cde", f"{head} The lead. {body}") | {"f": f"{head} The lead. {body} Another"}
+    assert found == {(k, i): want[k] for k in bodies for i in range(2)}
+
+
 def test_html_of_the_tables(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").join(queries.op10_html_text(spark, SF).select("page_id", "text", "n_chars"), "page_id").collect():
         inner = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]

@@ -1,7 +1,7 @@
 """HTML extraction by consensus host paths.
 
-A page's containers are scored by the text of their paragraphs; the page votes for the generalised tag-class
-path of its best one. Votes are counted per host and path in Spark; each page's text is then taken from the
+A page's containers are scored by the text of their paragraphs, and the best one is widened to the article or
+main around it; the page votes for its generalised tag-class path. Votes are counted per host and path in Spark; each page's text is then taken from the
 elements on its host's winning path, or from its own best container where it has none there.
 """
 
@@ -133,8 +133,37 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     return elements, pieces
 
 
+def _above(e: Element | None, tag: str) -> Element | None:
+    """The innermost element of a name around `e`, or `e` itself."""
+    while e is not None and e.tag != tag:
+        e = e.parent
+    return e
+
+
+def _widened(best: Element, elements: list[Element]) -> Element:
+    """The article around a container, or else its main: headline and lead often stand beside the container.
+
+    A main with one article is taken whole, unless most of the text beside the article is links.
+    """
+    article, main = _above(best, "article"), _above(best, "main")
+    if article is None or main is None:
+        return article or main or best
+    chars = linked = 0
+    inside = {id(article)}
+    for e in elements[article.order + 1 :]:  # parents come before their children
+        if id(e.parent) in inside:
+            inside.add(id(e))
+    for e in elements[main.order :]:
+        if id(e) in inside or e.dropped or _above(e, "main") is not main:
+            continue
+        if e.tag == "article":
+            return article
+        chars, linked = chars + e.chars, linked + e.linked
+    return main if 2 * linked < chars else article
+
+
 def best_container(elements: list[Element], pieces: list[tuple[Element, str, bool]]) -> Element | None:
-    """The container with the highest score: the text of its paragraphs without links, and part of its inner containers'."""
+    """The container with the highest score, widened: the text of its paragraphs without links, and part of its inner containers'."""
     for element, text, _ in pieces:
         if element.dropped:
             continue
@@ -156,7 +185,7 @@ def best_container(elements: list[Element], pieces: list[tuple[Element, str, boo
         if e.tag in CONTAINERS and not e.dropped and e.score > 0 and (best is None or e.score >= best.score):
             best = e
     # Text outside of any container belongs to the page itself.
-    return best if best is not None else elements[0] if elements[0].chars else None
+    return _widened(best, elements) if best is not None else elements[0] if elements[0].chars else None
 
 
 def text_of(elements: list[Element], pieces: list[tuple[Element, str, bool]], roots: list[Element]) -> str:
