@@ -209,6 +209,19 @@ def test_repeats_of_odd_tables(spark):
     assert repeats.remove_repeats(docs_of(spark, []).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("many", [repeats.MANY_CONTEXTS, 0])
+def test_repeats_of_many_rows_with_one_id(spark, monkeypatch, many):
+    monkeypatch.setattr(repeats, "MANY_CONTEXTS", many)
+    rng = random.Random(8)
+    a, b, c = ("".join(rng.choices("abcdefgh", k=150)) for _ in range(3))
+    rows = [(5, 0, a), (5, 1 << 19, a), (5, 1 << 20, "x" + b), (5, (1 << 20) + 1, "y" + b + c), (5, 1 << 40, a + "z" + c)]
+    gone = {}
+    for part in repeats.repeated_parts(spark.createDataFrame(rows, "doc_id long, part long, text string"), repeats.LENGTH, repeats.GRAMS):
+        for r in part.collect():
+            gone.setdefault((r.doc_id, r.part), []).append((r.start, r.stop))
+    assert {k: repeats.merged_spans(v) for k, v in gone.items()} == {(5, 1 << 19): [(0, 150)], (5, (1 << 20) + 1): [(1, 151)], (5, 1 << 40): [(0, 150), (151, 301)]}
+
+
 def test_maximal_repeats_give_all_occurrences():
     words = [b"xxABCDEFGHIJ1", b"yyABCDEFGHIJ2", b"zABCDEFGHIJK"]
     numbers = np.array([len(w) - 7 for w in words])

@@ -4,7 +4,7 @@ A suffix is placed by the rarest-looking part of its first `length` bytes: of th
 in that window, the smallest (the leftmost of equal ones) names the bucket. Equal windows have equal hashes,
 so all suffixes that share `length` bytes meet in one bucket, whatever documents they are in, and the interval
 tree of the whole corpus above that depth falls apart into trees of single buckets. Neighbouring suffixes
-mostly have the same place; such a run of window starts is one row (bucket, document, first, number).
+mostly have the same place; such a run of window starts is one row (bucket, document, part, first, number).
 
 1. Buckets seen once are dropped: their windows occur once.
 2. Runs of a bucket with the same bytes are one context. All but the first run of a context repeat an earlier
@@ -40,7 +40,7 @@ LENGTH, GRAMS = 100, (32, 80)
 MANY_CONTEXTS = 1000
 #: Bytes of text that are hashed at once, and of contexts that are sorted at once.
 PIECE, SORT_BYTES = 1 << 19, 1 << 20
-NULL_ID, PART_BITS, FIRST_MASK = -(1 << 63), 44, (1 << 36) - 1
+NULL_ID = -(1 << 63)
 
 
 def window_places(raw: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,27 +92,27 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(bucket, doc_id, place) of every run of every text; place holds part, first window start and number of starts."""
+    """(bucket, doc_id, part, place) of every run of every text; place holds first window start and number of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
             raw, edges = _joined(utf8(batch.column("text")))
             bucket, first, stop = window_places(raw, edges, length, gram)
             at = np.searchsorted(edges, first, side="right") - 1
-            part = batch.column("part").to_numpy()[at]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(batch.column("doc_id").to_numpy()[at]), pa.array(part << PART_BITS | (first - edges[at]) << 8 | (stop - first))], ["bucket", "doc_id", "place"])
+            doc, part = (pa.array(batch.column(c).to_numpy()[at]) for c in ("doc_id", "part"))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), doc, part, pa.array((first - edges[at]) << 8 | (stop - first))], ["bucket", "doc_id", "part", "place"])
 
-    return docs.mapInArrow(run, "bucket long, doc_id long, place long")
+    return docs.mapInArrow(run, "bucket long, doc_id long, part long, place long")
 
 
 def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """(text, doc_id, part, runs) of the texts that have any of `runs` (bucket, doc_id, place)."""
-    by_text = runs.withColumn("part", F.shiftright("place", PART_BITS)).groupBy("doc_id", "part").agg(F.collect_list(F.struct("bucket", "place")).alias("runs"))
+    """(text, doc_id, part, runs) of the texts that have any of `runs` (bucket, doc_id, part, place)."""
+    by_text = runs.groupBy("doc_id", "part").agg(F.collect_list(F.struct("bucket", "place")).alias("runs"))
     return docs.join(by_text, ["doc_id", "part"])
 
 
 def context_digests(texts: DataFrame, length: int) -> DataFrame:
-    """(bucket, k1, k2, doc_id, place) of the runs of `texts`, with a digest of each run's bytes."""
+    """(bucket, k1, k2, doc_id, part, place) of the runs of `texts`, with a digest of each run's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
@@ -122,13 +122,13 @@ def context_digests(texts: DataFrame, length: int) -> DataFrame:
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             raw = utf8(batch.column("text"))
             p = place.to_numpy()
-            first = (p >> 8) & FIRST_MASK
+            first = p >> 8
             ends = first + (p & 255) + length - 1
             digests = b"".join([xxhash.xxh3_128_digest(raw[o][a:b]) for o, a, b in zip(owner.tolist(), first.tolist(), ends.tolist(), strict=True)])
             k = np.frombuffer(digests, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([bucket, pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(batch.column("doc_id").to_numpy()[owner]), place], ["bucket", "k1", "k2", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([bucket, pa.array(k[:, 0]), pa.array(k[:, 1]), *[pa.array(batch.column(c).to_numpy()[owner]) for c in ("doc_id", "part")], place], ["bucket", "k1", "k2", "doc_id", "part", "place"])
 
-    return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, place long")
+    return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, part long, place long")
 
 
 def finer_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -136,30 +136,30 @@ def finer_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
-            rows = [(r["bucket"], doc, r["place"], raw[(f := r["place"] >> 8 & FIRST_MASK) : f + (r["place"] & 255) + length - 1]) for raw, doc, runs in zip(utf8(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("runs").to_pylist(), strict=True) for r in runs]
-            raw, edges = _joined([r[3] for r in rows])
+            rows = [(r["bucket"], doc, part, r["place"], raw[(f := r["place"] >> 8) : f + (r["place"] & 255) + length - 1]) for raw, doc, part, runs in zip(utf8(batch.column("text")), *(batch.column(c).to_pylist() for c in ("doc_id", "part", "runs")), strict=True) for r in runs]
+            raw, edges = _joined([r[4] for r in rows])
             bucket, first, stop = window_places(raw, edges, length, gram)
             at = np.searchsorted(edges, first, side="right") - 1
-            old = np.array([r[:3] for r in rows], np.int64).reshape(-1, 3)[at]
+            old = np.array([r[:4] for r in rows], np.int64).reshape(-1, 4)[at]
             whole = raw.tobytes()
             k = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(first.tolist(), (stop + length - 1).tolist(), strict=True)]), np.int64).reshape(-1, 2)
-            place = (old[:, 2] >> 8 << 8) + ((first - edges[at]) << 8) + (stop - first)
+            place = (old[:, 3] >> 8 << 8) + ((first - edges[at]) << 8) + (stop - first)
             finer = mix64(bucket ^ old[:, 0].view(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(finer), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(old[:, 1]), pa.array(place)], ["bucket", "k1", "k2", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(finer), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(old[:, 1]), pa.array(old[:, 2]), pa.array(place)], ["bucket", "k1", "k2", "doc_id", "part", "place"])
 
-    return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, place long")
+    return texts.mapInArrow(run, "bucket long, k1 long, k2 long, doc_id long, part long, place long")
 
 
 def context_bytes(texts: DataFrame, length: int) -> DataFrame:
-    """(bucket, doc_id, place, bytes) of the runs of `texts`."""
+    """(bucket, doc_id, part, place, bytes) of the runs of `texts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
-            rows = [(r["bucket"], doc, r["place"], raw[(f := r["place"] >> 8 & FIRST_MASK) : f + (r["place"] & 255) + length - 1]) for raw, doc, runs in zip(utf8(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("runs").to_pylist(), strict=True) for r in runs]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary())], ["bucket", "doc_id", "place", "bytes"])
+            rows = [(r["bucket"], doc, part, r["place"], raw[(f := r["place"] >> 8) : f + (r["place"] & 255) + length - 1]) for raw, doc, part, runs in zip(utf8(batch.column("text")), *(batch.column(c).to_pylist() for c in ("doc_id", "part", "runs")), strict=True) for r in runs]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())], ["bucket", "doc_id", "part", "place", "bytes"])
 
-    return texts.mapInArrow(run, "bucket long, doc_id long, place long, bytes binary")
+    return texts.mapInArrow(run, "bucket long, doc_id long, part long, place long, bytes binary")
 
 
 def repeated_starts(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -248,15 +248,16 @@ def maximal_repeats(contexts: list[bytes], numbers: np.ndarray, ranks: np.ndarra
 
 
 def repeated_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """(doc_id, part, start, stop): bytes of the contexts (bucket, doc_id, place, bytes) that repeat an earlier one's.
+    """(doc_id, part, start, stop): bytes of the contexts (bucket, doc_id, part, place, bytes) that repeat an earlier one's.
 
     Buckets are dealt whole; each partition is sorted by bucket and worked in portions of SORT_BYTES.
     """
 
     def spans(rows: list[tuple]) -> pa.RecordBatch:
-        doc, place, texts = (np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64), [r[3] for r in rows])
+        doc, part, place = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+        texts = [r[4] for r in rows]
         rank = np.empty(len(rows), np.int64)
-        rank[np.lexsort((place, doc))] = np.arange(len(rows))
+        rank[np.lexsort((place, part, doc))] = np.arange(len(rows))
         edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
         change = np.zeros(int(edges[-1]) + 1, np.int64)
         for depth, who, where in maximal_repeats(texts, place & 255, rank, length):
@@ -272,8 +273,8 @@ def repeated_spans(contexts: DataFrame, length: int) -> DataFrame:
         ends[edges[1:][covered[edges[1:] - 1]] - 1] = True
         stops = np.flatnonzero(ends) + 1
         owner = np.searchsorted(edges, starts, side="right") - 1
-        base = (place[owner] >> 8 & FIRST_MASK) - edges[owner]
-        return pa.RecordBatch.from_arrays([pa.array(doc[owner]), pa.array(place[owner] >> PART_BITS), pa.array(starts + base), pa.array(stops + base)], ["doc_id", "part", "start", "stop"])
+        base = (place[owner] >> 8) - edges[owner]
+        return pa.RecordBatch.from_arrays([pa.array(doc[owner]), pa.array(part[owner]), pa.array(starts + base), pa.array(stops + base)], ["doc_id", "part", "start", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -284,11 +285,11 @@ def repeated_spans(contexts: DataFrame, length: int) -> DataFrame:
                     yield spans(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if rows:
             yield spans(rows)
 
-    dealt = contexts.select("bucket", "doc_id", "place", "bytes").repartition("bucket").sortWithinPartitions("bucket")
+    dealt = contexts.select("bucket", "doc_id", "part", "place", "bytes").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "doc_id long, part long, start long, stop long")
 
 
@@ -321,16 +322,16 @@ def first_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
 def repeated_parts(texts: DataFrame, length: int, grams: tuple[int, ...]) -> list[DataFrame]:
     """Stored tables (doc_id, part, start, stop) of all bytes that repeat earlier ones."""
     spark, keys, parts = texts.sparkSession, ["bucket", "k1", "k2"], []
-    start, number = F.shiftright("place", 8).bitwiseAND(F.lit(FIRST_MASK)), F.col("place").bitwiseAND(F.lit(255).cast("long"))
+    start, number = F.shiftright("place", 8), F.col("place").bitwiseAND(F.lit(255).cast("long"))
     digests = first_digests(texts, length, grams[0])
     for finer in (*grams[1:], length, None):
-        contexts = stored(digests.groupBy(*keys).agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
-        later = digests.join(contexts.where("n > 1").select(*keys, "first"), keys).where(F.struct("doc_id", "place") > F.col("first"))
-        parts.append(stored(later.select("doc_id", F.shiftright("place", PART_BITS).alias("part"), start.alias("start"), (start + number + (length - 1)).alias("stop")), "whole"))
+        contexts = stored(digests.groupBy(*keys).agg(F.min(F.struct("doc_id", "part", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
+        later = digests.join(contexts.where("n > 1").select(*keys, "first"), keys).where(F.struct("doc_id", "part", "place") > F.col("first"))
+        parts.append(stored(later.select("doc_id", "part", start.alias("start"), (start + number + (length - 1)).alias("stop")), "whole"))
         discard(digests)
         release(spark)
         several = stored(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "several")
-        firsts = stored(contexts.select("bucket", "first.doc_id", "first.place").join(several, "bucket"), "firsts")
+        firsts = stored(contexts.select("bucket", "first.doc_id", "first.part", "first.place").join(several, "bucket"), "firsts")
         discard(contexts, several)
         small = firsts.where(F.col("contexts") <= (MANY_CONTEXTS if finer else 1 << 62)).drop("contexts")
         parts.append(stored(repeated_spans(context_bytes(_with_runs(texts, small), length), length), "partly"))
