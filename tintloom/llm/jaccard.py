@@ -10,8 +10,8 @@ index lists of these prefix elements are worked in two rounds.
    together here at a cost that is linear in their size.
 2. The rest. Lists whose sets are in several components then give the pairs that the first round left open.
    A list is cut into blocks by set size and prefix position, and blocks whose best possible overlap with a
-   set is too small are skipped. Sets that meet in lists of heavy elements lie around a pivot; what they hold
-   of it and beyond is written down once, and the overlaps of those that its answers left apart derive from that.
+   set is too small are skipped. Sets that meet in lists of heavy elements lie around a pivot; the overlaps of
+   those that its answers left apart are computed anew, all of a block at once, not derived from its answers.
 
 Equal sets count as one throughout. Pairs in one component aren't compared again: no link between components
 can be lost, and components are what is returned.
