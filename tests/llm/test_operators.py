@@ -120,15 +120,77 @@ def _components(rows):
     return {d: (len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("limits", [{}, {"HEAVY_SHARE": 50, "HEAVY_LEAST": 8, "BLOCK": 4, "BALL": 10}])
-def test_jaccard(spark, monkeypatch, limits):
+def family(n=160, seed=5):
+    """Copies of one text at all distances around the threshold, with copies of those: sets that a pivot leaves open."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    far = []
+    for _ in range(12):
+        w = list(base)
+        for k in rng.sample(range(150), rng.choice([3, 5, 7, 9])):
+            w[k] = f"e{rng.randrange(400)}"
+        far.append(w)
+    texts = [" ".join(base)] * 2
+    for _ in range(n):
+        w = list(rng.choice([base, *far, *far]))
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            w[rng.randrange(len(w))] = f"f{rng.randrange(10**6)}"
+        if rng.random() < 0.2:
+            del w[rng.randrange(100) :][: rng.randrange(30)]
+        texts.append(" ".join(w))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("limits", [{}, {"LIGHT": 3, "BLOCK": 2, "BALL": 10, "COLUMNS": 7, "CHUNK": 500}, {"LIGHT": 2, "HEAVY_MOST": 50, "HOT": 3}])
+@pytest.mark.parametrize("rows", [sample(), family()])
+def test_jaccard(spark, monkeypatch, limits, rows):
+    if "LIGHT" in limits:
+        monkeypatch.setattr(jaccard.heavy_keys, "__defaults__", (limits["LIGHT"],))
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
-    rows = sample()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs_of(spark, rows)).collect()}
     assert found == _components(rows)
 
 
+def test_jaccard_counts_heavy_elements_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 50)
+    rows = sample()
+    counts = Counter(e for _, t in rows for e in jaccard.shingle_sets([(t or "").encode()])[0].tolist())
+    for most, light in ((2_000_000, 16), (10, 32)):
+        monkeypatch.setattr(jaccard, "HEAVY_MOST", most)
+        keys, mask = jaccard.heavy_keys(docs_of(spark, rows))
+        while sum(n > light for n in counts.values()) > most:
+            light *= 2
+        assert sorted(e & mask for e, n in counts.items() if n > light) == keys.tolist()
+
+
+def test_jaccard_list_pairs_are_those_of_fitting_sizes_and_positions():
+    rng = random.Random(3)
+    rows = sorted((rng.randrange(60), n := rng.randrange(20, 60), rng.randrange(min(n // 5 + 1, 12)), k) for k in range(600))
+    element, n, pos, node = np.array(rows, np.int64).T
+    found = np.concatenate([*jaccard.list_pairs(element, node, n, np.zeros_like(n), pos), np.empty((3, 0), np.int64)], axis=1)
+    want = set()
+    for e, a, x, i in rows:
+        for f, b, y, j in rows:
+            if e == f and i < j and 5 * min(a, b) >= 4 * max(a, b) and 9 * (min(x, y) + 1 + min(a - x, b - y) - 1) >= 4 * (a + b):
+                want.add((i, j))
+    assert len(want) > 100 and sorted(zip(*found[:2].tolist(), strict=True)) == sorted(want)
+
+
+def test_jaccard_forest_connects_what_the_matrix_connects():
+    hit = np.random.default_rng(1).random((30, 40)) < 0.04
+    parts = []
+    for pairs in (zip(*np.nonzero(hit), strict=True), jaccard.forest(hit)):
+        label = list(range(70))
+        for r, c in pairs:
+            x, y = label[r], label[30 + c]
+            label = [x if v == y else v for v in label]
+        parts.append([label.index(v) for v in label])
+    assert parts[0] == parts[1]
+    assert len(jaccard.forest(np.ones((30, 40), bool))) == 69
+
+
 def test_jaccard_of_odd_tables(spark):
     docs = docs_of(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, "other words"), (3, "A b c d e f")])
     found = Counter((r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs).collect())
@@ -136,6 +198,20 @@ def test_jaccard_of_odd_tables(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_jaccard_of_documents_with_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard.heavy_keys, "__defaults__", (2,))
+    rows = [(i % 100, t) for i, t in family()]
+    names = dict(enumerate(rows))
+    parts = _components([(i, t) for i, (_, t) in names.items()])
+    label = {i: c for i, (_, c) in parts.items()}
+    for i, (d, t) in names.items():
+        j = next(k for k, (e, _) in names.items() if e == d)
+        label = {k: label[j] if v == label[i] else v for k, v in label.items()}
+    least = {c: min(names[i][0] for i in label if label[i] == c) for c in set(label.values())}
+    found = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs_of(spark, rows)).collect()}
+    assert found == {(names[i][0], least[c]) for i, c in label.items()}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (60, 100), (60, 60), (200, 201), (200, 201)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

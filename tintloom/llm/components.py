@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintloom.llm.common import stored
+from tintloom.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,12 +27,15 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
             .distinct()
         )
-        current = stored(moved, "edges")
+        former, current = current, stored(moved, "edges")
+        discard(former)
         if places is None:
             places = step
         else:
             next_ = step.select(F.col("node").alias("place"), F.col("place").alias("next"))
-            places = stored(places.join(next_, "place", "left").select("node", F.coalesce("next", "place").alias("place")), "places")
+            former, places = places, stored(places.join(next_, "place", "left").select("node", F.coalesce("next", "place").alias("place")), "places")
+            discard(former, step)
     if places is None:
         return current.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    discard(current)
     return places.select("node", F.col("place").alias("component"))

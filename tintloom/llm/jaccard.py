@@ -1,20 +1,20 @@
 """Exact Jaccard join of documents on word shingles, with set-relation skipping.
 
 Any two sets of Jaccard similarity 0.8 share an element among the first n - ceil(0.8 n) + 1 of each, in any
-common order of elements. The order here is: elements that many sets hold ("heavy") last, else by hash. The
-index lists of these prefix elements are worked in two rounds.
-
-1. Answers of a pivot. The pivot of a list is its smallest document, or of a heavy element the set with the
-   largest share of heavy elements, which is the least edited one. Every set is compared with the pivot
-   that it shares most prefix elements with, if these are enough for similarity. Groups of near copies come
-   together here at a cost that is linear in their size.
-2. The rest. Lists whose sets are in several components then give the pairs that the first round left open.
-   A list is cut into blocks by set size and prefix position, and blocks whose best possible overlap with a
-   set is too small are skipped. Sets that meet in lists of heavy elements lie around a pivot; the overlaps of
-   those that its answers left apart are computed anew, all of a block at once, not derived from its answers.
-
-Equal sets count as one throughout. Pairs in one component aren't compared again: no link between components
-can be lost, and components are what is returned.
+common order of elements. The order here is: elements that many sets hold ("heavy") last, else by hash. How
+many sets hold an element is counted over the whole corpus.
+
+1. Index lists of light elements are short. They are cut into blocks by set size and prefix position; a block
+   whose best possible overlap with a set is too small is skipped. Pairs that share enough light elements to
+   be similar at all are compared.
+2. Lists of heavy elements belong to groups of near copies and may be very long. Each has a pivot, the set
+   with the largest share of heavy elements, which is the least edited one. A set is compared with the pivot
+   once; its answer is stored as the difference D between the two. What the pivot leaves open is derived from
+   those answers: the overlap of A and B is |P| - missing(A) - missing(B) + |D(A) and D(B)|. Only sets that
+   aren't similar to the pivot need this, and only with sets whose distance to the pivot differs by at most
+   0.2, by the triangle inequality; blocks of others are skipped.
+
+Equal sets count as one throughout. No link between components is lost; components are what is returned.
 """
 
 from __future__ import annotations
@@ -26,18 +26,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tintloom.llm.common import discard, release, slices, small_batches, stored, utf8
 from tintloom.llm.components import components
 from tintloom.llm.scan import Words, short_window, windows
 
 SHINGLE = 5
-#: An element is heavy if it is in one of HEAVY_SHARE sets or more of a chunk; the HEAVY_MOST most frequent are set apart.
-HEAVY_SHARE, HEAVY_LEAST, HEAVY_MOST, CHUNK = 5000, 32, 400_000, 8 << 20
-PIECE, BLOCK = 1 << 19, 64
-#: Sets of a block in the comparison around a pivot.
-BALL = 1000
+#: An element in more than LIGHT sets is heavy. HEAVY_MOST bounds what is broadcast: where more elements are heavy, LIGHT is doubled.
+LIGHT, HEAVY_MOST = 16, 2_000_000
+#: Elements counted together in a chunk of texts, and bytes of text for each cell of element hashes.
+CHUNK, CELL = 4 << 20, 32 << 20
+#: Bytes of text handled at once, sets of a block of an index list, sets of a block around a pivot, columns of a product.
+PIECE, BLOCK, BALL, COLUMNS = 1 << 19, 8, 1000, 4096
+#: A class of equal sets with a thousandth of all rows is hot; there can't be more than a thousand such.
+HOT = 1000
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -56,42 +58,83 @@ def prefix_length(n: int) -> int:
     return n - -(-4 * n // 5) + 1 if n else 0
 
 
-def heavy_elements(docs: DataFrame) -> np.ndarray:
-    """The elements that very many sets hold, at most HEAVY_MOST, sorted.
+def heavy_keys(docs: DataFrame, light: int = LIGHT) -> tuple[np.ndarray, int]:
+    """Sorted keys of the elements in more than `light` rows, and the mask that makes a key of an element.
 
-    Every text counts: each chunk of texts reports the elements that one in HEAVY_SHARE of its sets hold. Which
-    elements are heavy only changes the order of elements, never the result.
+    Every element of every row is counted. A key is the low bits of an element: 32 and those of its cell. So 4
+    bytes of each element move; what occurs several times in a chunk moves once, with its count. Keys that meet
+    only change the order of elements, never the result. More than HEAVY_MOST keys double the threshold.
     """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(24, max(8, (size // CELL).bit_length()))
+    cells, mask = 1 << bits, (1 << (32 + bits)) - 1
+
+    def binary(values: np.ndarray, cuts: np.ndarray, width: int) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
-        size = 0
+        held = 0
 
         def report() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            often = counts >= max(4, len(waiting) / HEAVY_SHARE)
-            return pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(counts[often].astype(np.int64))], ["element", "n"])
+            keys, counts = np.unique(np.concatenate(waiting).view(np.uint64) & np.uint64(mask), return_counts=True)
+            edges = np.arange(cells + 1, dtype=np.uint64) << np.uint64(32)
+            single = counts == 1
+            once, more = keys[single], keys[~single]
+            pairs = np.stack([more.astype(np.uint32), counts[~single].astype(np.uint32)], axis=1)
+            columns = [
+                pa.array(np.arange(cells, dtype=np.int32)),
+                binary(once.astype(np.uint32), np.searchsorted(once, edges), 4),
+                binary(pairs, np.searchsorted(more, edges), 8),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["cell", "once", "more"])
 
         for batch in slices(batches, "text", PIECE):
             for s in shingle_sets(utf8(batch.column("text"))):
                 waiting.append(s)
-                size += len(s)
-                if size >= CHUNK:
+                held += len(s)
+                if held >= CHUNK:
                     yield report()
-                    waiting, size = [], 0
-        if waiting:
+                    waiting, held = [], 0
+        if held:
             yield report()
 
-    counts = docs.select("text").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= HEAVY_LEAST).orderBy(F.desc("n"), "element").limit(HEAVY_MOST)
-    return np.sort(top.select("element").toArrow().column(0).to_numpy())
-
-
-def prefix_table(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
+    def count(table: pa.Table) -> pa.Table:
+        cell = table.column("cell")[0].as_py()
+        once = np.frombuffer(b"".join(table.column("once").to_pylist()), np.uint32)
+        more = np.frombuffer(b"".join(table.column("more").to_pylist()), np.uint32).reshape(-1, 2)
+        values, counts = np.unique(once, return_counts=True)
+        several, which = np.unique(more[:, 0], return_inverse=True)
+        total = np.bincount(which, weights=more[:, 1], minlength=len(several)).astype(np.int64)
+        if len(values):
+            at = np.minimum(np.searchsorted(values, several), len(values) - 1)
+            met = values[at] == several
+            total[met] += counts[at[met]]
+            counts[at[met]] = 0
+        keys = np.concatenate([several[total > light], values[counts > light]]).astype(np.int64) | (cell << 32)
+        n = np.concatenate([total[total > light], counts[counts > light]])
+        return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    blobs = docs.select("text").mapInArrow(run, "cell int, once binary, more binary")
+    frequent = stored(blobs.groupBy("cell").applyInArrow(count, "key long, n long"), "frequent")
+    levels = frequent.groupBy(F.floor(F.log2((F.col("n") - 1) / light)).cast("int").alias("level")).count().collect()
+    held, level = sum(r["count"] for r in levels), 0
+    while held > HEAVY_MOST:
+        held -= sum(r["count"] for r in levels if r["level"] == level)
+        level += 1
+    keys = frequent.where(F.floor(F.log2((F.col("n") - 1) / light)) >= level).select("key").toArrow().column(0).to_numpy()
+    discard(frequent)
+    return np.sort(keys), mask
+
+
+def prefix_table(docs: DataFrame, heavy: np.ndarray, mask: int) -> DataFrame:
     """(doc_id, n, common, k1, k2, light, heavy): size, number of heavy elements, digest and prefix elements of every row's set."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     schema = "doc_id long, n long, common long, k1 long, k2 long, light array<long>, heavy array<long>"
 
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(np.concatenate([*parts, np.empty(0, np.int64)])))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
         for batch in slices(batches, "text", PIECE):
@@ -100,220 +143,230 @@ def prefix_table(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                 p = prefix_length(len(s))
                 digest = np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
                 if len(heavy) and len(s):
-                    late = heavy[np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)] == s
+                    keys = s & np.int64(mask)
+                    late = heavy[np.minimum(np.searchsorted(heavy, keys), len(heavy) - 1)] == keys
                     light, rest = s[~late][:p], s[late]
                 else:
                     light, rest = s[:p], s[:0]
                 rows.append((len(s), len(rest), digest[0], digest[1], light, rest[: p - len(light)]))
             n, common, k1, k2, light, late = zip(*rows, strict=True) if rows else ([],) * 6
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(common, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(light, longs), pa.array(late, longs)], ["doc_id", "n", "common", "k1", "k2", "light", "heavy"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, common, k1, k2)], lists(light), lists(late)], ["doc_id", "n", "common", "k1", "k2", "light", "heavy"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-POSTING = "element long, node long, n long, pos int, pivot long"
+def _overlap_most(n: np.ndarray, pos: np.ndarray, n2: np.ndarray, low2: np.ndarray, high2: np.ndarray) -> np.ndarray:
+    """Overlap at most of a set and others: what stands before the shared element in both, the element, and what comes after in both."""
+    return np.minimum(pos, high2) + 1 + np.minimum(n - pos - 1, n2 - low2 - 1)
 
 
-def light_lists(postings: DataFrame) -> DataFrame:
-    """Rows (element, node, n, pos, pivot) of the lists with two sets or more; the pivot is the list's smallest node.
+def list_pairs(element: np.ndarray, node: np.ndarray, n: np.ndarray, heavy: np.ndarray, pos: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs of whole index lists as rows a, b, need: the nodes, smaller first, and how many light elements they must share.
 
-    Lists of light elements are short by the choice of heavy ones; they are read off sorted partitions.
+    The rows are sorted by element, n, pos. Each list is cut into blocks; a set skips a block if its sizes are
+    out of reach, or if even the best position in it leaves too little overlap.
     """
+    start = np.flatnonzero(np.diff(element, prepend=element[0] - 1 if len(element) else 0))
+    size = np.diff(np.append(start, len(element)))
+    keep = np.repeat(size > 1, size)
+    node, n, heavy, pos = node[keep], n[keep], heavy[keep], pos[keep]
+    size = size[size > 1]
+    if not len(size):
+        return
+    start = np.cumsum(size) - size
+    first = np.flatnonzero((np.arange(len(node)) - np.repeat(start, size)) % BLOCK == 0)
+    stop = np.append(first[1:], len(node))
+    block = np.repeat(np.arange(len(first)), stop - first)
+    low_n, high_n = n[first], n[stop - 1]
+    low_pos, high_pos = np.minimum.reduceat(pos, first), np.maximum.reduceat(pos, first)
+    many = np.repeat(block[start + size - 1], size) - block + 1
+    ends = np.cumsum(many)
+    begin = 0
+    while begin < len(node):
+        base = ends[begin] - many[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, base + 200_000, side="right")))
+        i = np.repeat(np.arange(begin, end), many[begin:end])
+        b = block[i] + np.arange(len(i)) - (ends[i] - many[i] - base)
+        reach = (5 * n[i] >= 4 * low_n[b]) & (9 * _overlap_most(n[i], pos[i], high_n[b], low_pos[b], high_pos[b]) >= 4 * (n[i] + np.maximum(n[i], low_n[b])))
+        i, b = i[reach], b[reach]
+        at = np.maximum(first[b], i + 1)
+        count = stop[b] - at
+        i, at, count = i[count > 0], at[count > 0], count[count > 0]
+        j = np.repeat(at - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        i = np.repeat(i, count)
+        good = (node[i] != node[j]) & (5 * n[i] >= 4 * n[j]) & (9 * _overlap_most(n[i], pos[i], n[j], pos[j], pos[j]) >= 4 * (n[i] + n[j]))
+        i, j = i[good], j[good]
+        # Other common elements are heavy ones of both prefixes, or stand behind the prefix of the larger set.
+        need = -(-4 * (n[i] + n[j]) // 9) - np.minimum(heavy[i], heavy[j]) - (-(-4 * n[j] // 5) - 1)
+        yield np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), need])
+        begin = end
+
+
+def light_pairs(leaders: DataFrame) -> DataFrame:
+    """(a, b): nodes that share enough light prefix elements to be similar, from leaders (node, n, light, heavy)."""
+
+    names = ["element", "node", "n", "h", "pos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["element", "node", "n", "pos"]
-        kept: list[np.ndarray] | None = None
-        pivot: int | None = None  # of the list of the row held back, if rows of that list went before it
-
-        def lists(columns: list[np.ndarray], first_pivot: int | None, stop: int | None) -> pa.RecordBatch:
-            """The rows before `stop` but those of lists of one; first_pivot, if any, is that of the first list."""
-            element = columns[0]
-            start = np.concatenate([[0], np.flatnonzero(element[1:] != element[:-1]) + 1])
-            sizes = np.diff(np.concatenate([start, [len(element)]]))
-            pivots, several = columns[1][start].copy(), sizes > 1
-            if first_pivot is not None:
-                pivots[0], several[0] = first_pivot, True
-            good = np.repeat(several, sizes)
-            good[len(good) if stop is None else stop :] = False
-            return pa.RecordBatch.from_arrays([*[pa.array(c[good]) for c in columns], pa.array(np.repeat(pivots, sizes)[good])], [*names, "pivot"])
+        def emit(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for found in list_pairs(*columns):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b", "need"])
 
+        rest: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [batch.column(n).to_numpy() for n in names]
+            columns = [batch.column(c).to_numpy().astype(np.int64) for c in names]
+            if rest is not None:
+                columns = [np.concatenate([r, c]) for r, c in zip(rest, columns, strict=True)]
             if not len(columns[0]):
                 continue
-            if kept is not None:
-                columns = [np.concatenate([k, c]) for k, c in zip(kept, columns, strict=True)]
-            yield lists(columns, pivot, -1)  # the last row's list may go on in the next batch
-            begin = int(np.searchsorted(columns[0], columns[0][-1]))
-            if begin == len(columns[0]) - 1:
-                pivot = None
-            elif begin > 0 or pivot is None:
-                pivot = int(columns[1][begin])
-            kept = [c[-1:] for c in columns]
-        if kept is not None and pivot is not None:
-            yield lists(kept, pivot, None)
-
-    dealt = postings.repartition("element").sortWithinPartitions("element", "node", "pos")
-    return dealt.mapInArrow(run, POSTING)
+            begin = int(np.searchsorted(columns[0], columns[0][-1]))  # the last list may go on in the next batch
+            yield from emit([c[:begin] for c in columns]) if begin else ()
+            rest = [c[begin:] for c in columns]
+        if rest is not None:
+            yield from emit(rest)
+
+    size = lambda c: F.size(c).cast("int")
+    postings = leaders.select("node", F.col("n").cast("int").alias("n"), size("heavy").alias("h"), F.posexplode("light").alias("pos", "element")).select(*names)
+    dealt = postings.repartition("element").sortWithinPartitions("element", "n", "pos")
+    pairs = dealt.mapInArrow(run, "a long, b long, need long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need"))
+    return pairs.where("shared >= need").select("a", "b")
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which elements of b are in a; both are sorted."""
+    return a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
 
 
 def _similar(overlap: Column, na: Column, nb: Column) -> Column:
     return 100 * overlap >= 80 * (na + nb - overlap)
 
 
-def _overlaps(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """The stored table (a, b, na, nb, overlap) of members (a, b, text) with the texts of heads (a, text).
+def compared(joined: DataFrame, differences: bool = False) -> DataFrame:
+    """(a, b, na, nb, overlap, p, d) of joined (a, b, head, text).
 
-    Texts move instead of sets: they are shorter. The joins with texts are never broadcast, as no side has a
-    bound. Rows of one head come together, so its set is made once.
+    With differences, d are the elements that only one of both sets has, and p stands for the head's set (a
+    document may have several). Rows of one head come together, so that its set is made once.
     """
-    schema = "a long, b long, na long, nb long, overlap long"
+    schema = "a long, b long, na long, nb long, overlap long, p long, d binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
             first = utf8(batch.column("head"))
             changes = [i for i, t in enumerate(first) if i == 0 or t != first[i - 1]]
             heads = shingle_sets([first[i] for i in changes])
+            names = [int.from_bytes(blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True) for h in heads] if differences else [0] * len(heads)
             which = np.searchsorted(changes, np.arange(len(first)), side="right") - 1
-            counts = []
+            rows = []
             for k, b in zip(which.tolist(), shingle_sets(utf8(batch.column("text"))), strict=True):
                 a = heads[k]
-                common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()) if len(a) else 0
-                counts.append((len(a), len(b), common))
-            n = np.array(counts, np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(n[:, i]) for i in range(3)]], ["a", "b", "na", "nb", "overlap"])
+                old = _common(a, b)
+                d = np.concatenate([a[~_common(b, a)], b[~old]]).tobytes() if differences else b""
+                rows.append((len(a), len(b), int(old.sum()), names[k], d))
+            *longs, d = zip(*rows, strict=True) if rows else ([],) * 5
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(x, pa.int64()) for x in longs], pa.array(d, pa.binary())], ["a", "b", "na", "nb", "overlap", "p", "d"])
 
-    joined = members.join(heads.withColumnRenamed("text", "head").hint("merge"), "a").select("a", "b", "text", "head")
-    return stored(joined.mapInArrow(run, schema), "answers")
+    return joined.select("a", "b", "head", "text").mapInArrow(run, schema)
 
 
-def compare_with_pivots(docs: DataFrame, tried: DataFrame) -> DataFrame:
-    """The stored table (a, b, na, nb, overlap) of pairs (a, b) in which every b has one a; each text moves once more."""
-    heads = tried.select("a").distinct().select("a", F.col("a").alias("b"))
-    wanted = stored(tried.select("a", "b").union(heads), "wanted")
-    texts = docs.withColumnRenamed("doc_id", "b").join(wanted.hint("merge"), "b")
-    return _overlaps(texts.where("a <> b"), texts.where("a = b").select("a", "text"))
+def similar_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The links (a, b) among candidate pairs (a, b), from texts (node, text); texts move, as they are shorter than sets."""
+    heads = texts.select(F.col("node").alias("a"), F.col("text").alias("head")).hint("merge")
+    others = texts.select(F.col("node").alias("b"), "text").join(pairs.hint("merge"), "b")
+    found = compared(others.join(heads, "a"))
+    return found.where(_similar(F.col("overlap"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
-def compare_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The stored table (a, b, na, nb, overlap) of any distinct pairs (a, b), from texts (node, text)."""
-    return _overlaps(texts.withColumnRenamed("node", "b").join(pairs.hint("merge"), "b"), texts.withColumnRenamed("node", "a"))
+def around_pivots(late: DataFrame) -> DataFrame:
+    """(pivot, node) of heavy postings (element, node, central): every other set of a list with the list's pivot."""
+    best = late.groupBy("element").agg(F.max(F.struct("central", (-F.col("node")).alias("low"))).alias("best"), F.count(F.lit(1)).alias("sets"))
+    pivots = best.where("sets > 1").select("element", (-F.col("best")["low"]).alias("pivot"))
+    # At most HEAVY_MOST elements (and those few that share their keys) are heavy.
+    return late.join(F.broadcast(pivots), "element").where("pivot <> node").select("pivot", "node").distinct()
 
 
-def open_light_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b, shared): pairs of sets of different components and fitting sizes that share light prefix elements.
+def answers_of_pivots(texts: DataFrame, placed: DataFrame) -> DataFrame:
+    """The answers (a, b, na, nb, overlap, p, d) of every pivot a for each set b around it.
 
-    `lists` has element, node, n, pos, heavy (number of heavy elements in the set's prefix) and component.
-    Each list is sorted by size and cut into blocks; a block is skipped for a set if all its sizes are out of
-    reach, or if even its first position leaves too little overlap.
+    The sets around a pivot are dealt to blocks, each of which gets the pivot's text: no task has them all.
     """
-
-    def pairs_of(node: np.ndarray, n: np.ndarray, pos: np.ndarray, comp: np.ndarray) -> list[np.ndarray]:
-        if len(n) < 2 or (comp == comp[0]).all():
-            return []
-        order = np.argsort(n, kind="stable")
-        node, n, pos, comp = node[order], n[order], pos[order], comp[order]
-        if len(n) <= BLOCK:
-            i, j = np.triu_indices(len(n), 1)
-            o = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1)
-            good = (comp[j] != comp[i]) & (5 * n[i] >= 4 * n[j]) & (9 * o >= 4 * (n[i] + n[j]))
-            return [np.stack([np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]])] if good.any() else []
-        edges = np.arange(0, len(n), BLOCK)
-        low_n, high_n, low_pos = n[edges], np.maximum.reduceat(n, edges), np.minimum.reduceat(pos, edges)
-        high_pos = np.maximum.reduceat(pos, edges)
-        found = []
-        for i in range(len(n) - 1):
-            # Overlap at most: what stands before this element in both, the element, and what comes after in both.
-            most = np.minimum(pos[i], high_pos) + 1 + np.minimum(n[i] - pos[i] - 1, high_n - low_pos - 1)
-            reach = (5 * n[i] >= 4 * low_n) & (edges + BLOCK > i + 1) & (9 * most >= 4 * (n[i] + low_n))
-            for e in edges[reach].tolist():
-                j = np.arange(max(e, i + 1), min(e + BLOCK, len(n)))
-                o = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1)
-                j = j[(comp[j] != comp[i]) & (5 * n[i] >= 4 * n[j]) & (9 * o >= 4 * (n[i] + n[j]))]
-                if len(j):
-                    found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-        return found
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] | None = None
-
-        def emit(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            cut = np.concatenate([[0], np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1, [len(columns[0])]])
-            found, size = [], 0
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                for part in pairs_of(*[c[a:b] for c in columns[1:]]):
-                    found.append(part)
-                    size += part.shape[1]
-                    if size > 100_000:
-                        yield as_batch(found)
-                        found, size = [], 0
-            yield as_batch(found)
-
-        def as_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-            both = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("element", "node", "n", "pos", "component")]
-            if rest is not None:
-                columns = [np.concatenate([r, c]) for r, c in zip(rest, columns, strict=True)]
-            if not len(columns[0]):
-                continue
-            begin = int(np.searchsorted(columns[0], columns[0][-1]))
-            yield from emit([c[:begin] for c in columns]) if begin else ()
-            rest = [c[begin:] for c in columns]
-        if rest is not None:
-            yield from emit(rest)
-
-    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lists.select("element", "node", "n", F.col("pos").cast("long").alias("pos"), "component").repartition(partitions, "element").sortWithinPartitions("element")
-    return dealt.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-
-
-def around_pivots(placed: DataFrame) -> DataFrame:
-    """The rows of `placed` (pivot, node, component, home) of pivots with sets of several components, with their block and number of blocks."""
-    sizes = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("component") != F.col("home")).alias("strays")).where("strays > 0")
-    members = placed.join(stored(sizes, "ball-sizes"), "pivot").withColumn("blocks", F.ceil(F.col("sets") / BALL).cast("int"))
-    return members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("sets", "strays")
-
-
-def links_across(texts: DataFrame, balls: DataFrame) -> DataFrame:
-    """The stored links (a, b) between components among the sets around each pivot.
-
-    `balls` is what `around_pivots` returns, `texts` has node and text. Sets of one component aren't compared;
-    so the strays, those of other components than the pivot's, are compared with all. They meet in pairs of
-    blocks of at most about BALL sets: a block's sets are written as rows over the elements that several of
-    them hold, mostly the pivot's, and one product of the two matrices gives every overlap. A stray's links to
-    several sets of one component are one link.
+    blocks = placed.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BALL).cast("int").alias("blocks"))
+    members = placed.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("blocks")
+    heads = blocks.select(F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(texts, "node")
+    members = members.join(texts.hint("merge"), "node").select(F.col("pivot").alias("a"), "block", F.col("node").alias("b"), "text")
+    heads = heads.select(F.col("node").alias("a"), "block", F.col("text").alias("head"))
+    return compared(members.join(heads.hint("merge"), ["a", "block"]), differences=True)
+
+
+def forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Entries (row, column) of a boolean matrix that connect all that its entries connect: fewer than rows and columns."""
+    found = []
+    rows, columns = hit.any(axis=1), np.ones(hit.shape[1], bool)
+    for r in range(len(rows)):
+        if not rows[r]:
+            continue
+        rows[r] = False
+        waiting = [(0, r)]
+        while waiting:
+            side, k = waiting.pop()
+            fresh = np.flatnonzero(hit[k] & columns) if side == 0 else np.flatnonzero(hit[:, k] & rows)
+            (columns if side == 0 else rows)[fresh] = False
+            found += [(k, x) if side == 0 else (x, k) for x in fresh.tolist()]
+            waiting += [(1 - side, x) for x in fresh.tolist()]
+    return found
+
+
+def derived_links(answers: DataFrame) -> DataFrame:
+    """The links (a, b) that the answers of pivots leave open, derived from those answers.
+
+    A stray is a set that isn't similar to the pivot. Strays meet all sets around the pivot in pairs of blocks;
+    a block holds about BALL sets of one tenth of distance to the pivot, and blocks more than 0.2 apart don't
+    meet. Sets that are similar to the pivot are linked with it, so one link to the pivot stands for all those
+    to them; of links among strays, as many as connect the same sets are returned.
     """
-    texts = balls.join(texts, "node")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    mine, theirs = F.col("block").alias("mine"), F.col("block").alias("theirs")
-    strays = texts.where("component <> home").select("pivot", mine, every.alias("theirs"), "node", "component", F.lit(True).alias("stray"), "text")
-    all_ = texts.select("pivot", every.alias("mine"), theirs, "node", "component", F.lit(False).alias("stray"), "text")
+    union = F.col("na") + F.col("nb") - F.col("overlap")
+    away = F.floor(10 * (union - F.col("overlap")) / union).cast("int")
+    stray = ~_similar(F.col("overlap"), F.col("na"), F.col("nb"))
+    sets = answers.select("a", "p", "b", "na", "nb", "overlap", "d", stray.alias("stray"), away.alias("band"))
+    bands = sets.groupBy("a", "p", "band").agg(F.ceil(F.count(F.lit(1)) / BALL).cast("int").alias("blocks"), F.count_if("stray").alias("strays"))
+    sets = sets.join(bands.drop("strays"), ["a", "p", "band"]).withColumn("block", F.pmod(F.xxhash64("b"), "blocks").cast("int"))
+    every = bands.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mine = every.where("strays > 0").select("a", "p", F.col("band").alias("band1"), F.col("block").alias("block1"))
+    theirs = every.select("a", "p", F.col("band").alias("band2"), F.col("block").alias("block2"))
+    meets = mine.join(theirs, ["a", "p"]).where("abs(band1 - band2) <= 2")
+    key = ["a", "p", "band1", "block1", "band2", "block2"]
+    strays = sets.where("stray").withColumnsRenamed({"band": "band1", "block": "block1"}).join(meets, ["a", "p", "band1", "block1"]).withColumn("row", F.lit(True))
+    others = sets.withColumnsRenamed({"band": "band2", "block": "block2"}).join(meets, ["a", "p", "band2", "block2"]).withColumn("row", F.lit(False))
+    columns = [*key, "b", "na", "nb", "overlap", "stray", "row", "d"]
 
     def compare(table: pa.Table) -> pa.Table:
-        stray = table.column("stray").to_numpy()
-        found: tuple[np.ndarray, np.ndarray] = np.empty(0, np.int64), np.empty(0, np.int64)
-        if stray.any() and not stray.all():
-            node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-            sets = shingle_sets([b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()])
-            n = np.fromiter(map(len, sets), np.int64, len(sets))
-            values, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-            columns = np.cumsum(counts > 1) - 1
+        row = table.column("row").to_numpy()
+        found: list[tuple[int, int]] = []
+        if row.any() and not row.all():
+            pivot = table.column("a")[0].as_py()
+            node, na, nb, overlap, stray = (table.column(c).to_numpy() for c in ("b", "na", "nb", "overlap", "stray"))
+            differences = [np.frombuffer(d, np.int64) for d in table.column("d").to_pylist()]
+            of = np.repeat(np.arange(len(node)), [len(d) for d in differences])
+            _, which, counts = np.unique(np.concatenate(differences), return_inverse=True, return_counts=True)
+            column = np.cumsum(counts > 1) - 1
             keep = counts[which] > 1
-            rows = np.zeros((len(sets), int(columns[-1]) + 1 if len(columns) else 0), np.float32)
-            rows[np.repeat(np.arange(len(sets)), n)[keep], columns[which[keep]]] = 1
-            i, j = np.flatnonzero(stray), np.flatnonzero(~stray)
-            overlap = (rows[i] @ rows[j].T).astype(np.int64)
-            x, y = np.nonzero((component[i][:, None] != component[j]) & (9 * overlap >= 4 * (n[i][:, None] + n[j])) & (overlap > 0))
-            _, first = np.unique(np.stack([i[x], component[j[y]]]), axis=1, return_index=True)
-            found = node[i[x[first]]], node[j[y[first]]]
-        return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1])})
-
-    links = strays.unionByName(all_).groupBy("pivot", "mine", "theirs").applyInArrow(compare, "a long, b long")
-    return stored(links.distinct(), "across")
+            of, column = of[keep], column[which[keep]]
+            order = np.argsort(column, kind="stable")
+            of, column = of[order], column[order]
+            i, j = np.flatnonzero(row), np.flatnonzero(~row)
+            both = np.zeros((len(i), len(j)), np.float32)
+            for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+                part = slice(*np.searchsorted(column, [begin, begin + COLUMNS]).tolist())
+                held = np.zeros((len(node), COLUMNS), np.float32)
+                held[of[part], column[part] - begin] = 1
+                both += held[i] @ held[j].T
+            kept = overlap[i][:, None] - (na[j] - overlap[j]) + both.astype(np.int64)
+            hit = (9 * kept >= 4 * (nb[i][:, None] + nb[j])) & (node[i][:, None] != node[j])
+            found = [(int(node[i[r]]), pivot) for r in np.flatnonzero((hit & ~stray[j]).any(axis=1)).tolist()]
+            found += [(int(node[i[r]]), int(node[j[c]])) for r, c in forest(hit & stray[j])]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return strays.select(*columns).union(others.select(*columns)).groupBy(*key).applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -327,59 +380,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prefixes = stored(prefix_table(docs, heavy_elements(docs)), "prefixes")
+    heavy, mask = heavy_keys(docs)
+    release(spark)
+    prefixes = stored(prefix_table(docs, heavy, mask), "prefixes")
     sets = stored(prefixes.select("doc_id", "n", "k1", "k2"), "digests")
-    classes = stored(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
-    leaders = prefixes.where("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"], "left_semi")
+    classes = stored(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("sets")), "classes")
+    leaders = prefixes.where("n > 0").join(classes.select("k1", "k2", F.col("node").alias("doc_id")), ["k1", "k2", "doc_id"], "left_semi")
     leaders = leaders.select(F.col("doc_id").alias("node"), "n", "common", "light", "heavy")
 
-    # Round 1: every set against the pivot with which it shares most, if they can be similar at all.
-    light = stored(light_lists(leaders.select("node", "n", F.posexplode("light").alias("pos", "element")).select("element", "node", "n", "pos")), "light")
-    release(spark)
-    late = stored(leaders.where(F.size("heavy") > 0).select("node", "n", (F.col("common") / F.col("n")).alias("central"), F.explode("heavy").alias("element")), "heavy")
-    pivots = stored(late.groupBy("element").agg((-F.max(F.struct("central", (-F.col("node")).alias("low")))["low"]).alias("pivot"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"), "pivots")
-    late = stored(late.join(pivots, "element"), "heavy-lists")
-    met = light.select("pivot", "node", F.lit(1).alias("shared"), F.lit(0).alias("late")).union(late.select("pivot", "node", F.lit(0), F.lit(1)))
-    stars = stored(met.where("pivot <> node").groupBy("pivot", "node").agg(F.sum("shared").alias("shared"), F.sum("late").alias("late")), "stars")
-    reach = stored(leaders.groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.size("heavy")).alias("h")), "reach")
+    pairs = stored(light_pairs(leaders), "pairs")
+    late = leaders.where(F.size("heavy") > 0).select("node", (F.col("common") / F.col("n")).alias("central"), F.explode("heavy").alias("element"))
+    late = stored(late, "heavy-lists")
     discard(prefixes)
     release(spark)
-    side = lambda x: reach.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "most", "h")])
-    # Other common elements are heavy ones of both prefixes, or stand behind one of the prefixes.
-    behind = F.greatest(F.ceil(F.col("mosta") * 4 / 5), F.ceil(F.col("mostb") * 4 / 5)) - 1
-    enough = 9 * (F.col("shared") + F.least("ha", "hb") + behind) >= 4 * (F.col("na") + F.col("nb"))
-    likely = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "shared", "late").join(side("a"), "a").join(side("b"), "b").where(enough)
-    best = likely.groupBy("b").agg(F.max(F.struct((F.col("shared") + F.col("late")).alias("common"), (-F.col("a")).alias("low"))).alias("best"))
-    tried = stored(best.select((-F.col("best")["low"]).alias("a"), "b"), "tried")
-    answers = compare_with_pivots(docs, tried)
+    placed = stored(around_pivots(late), "placed")
+    discard(late)
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(placed.select("node")).union(placed.select("pivot")).distinct(), "open-nodes")
+    texts = stored(docs.withColumnRenamed("doc_id", "node").join(nodes, "node").distinct(), "open-texts")
     release(spark)
-    similar = _similar(F.col("overlap"), F.col("na"), F.col("nb"))
-    links = answers.where(similar).select("a", "b")
-    joined = stored(components(links), "round-1")
-
-    # Round 2: pairs of different components in lists that hold several.
-    of = lambda frame, key, name: frame.join(joined.select(F.col("node").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
-    apart = stored(of(of(stars.select("pivot", "node"), "pivot", "ca"), "node", "cb").where("ca <> cb").select("pivot", "node"), "apart")
-    mixed = stored(light.join(apart, ["pivot", "node"], "left_semi").select("element").distinct(), "mixed")
-    shared = stored(open_light_pairs(of(light.join(mixed, "element", "left_semi"), "node", "component")), "shared")
-    open_light = shared.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
-
-    placed = stored(of(of(late.select("pivot", "node").distinct(), "node", "component"), "pivot", "home"), "placed")
-    rest = stored(open_light.distinct(), "rest")
-    balls = stored(around_pivots(placed), "balls")
-    # One more pass over the texts, for those that still have something open.
-    nodes = balls.select("node").union(rest.select("a")).union(rest.select("b")).distinct()
-    texts = stored(docs.withColumnRenamed("doc_id", "node").join(stored(nodes, "open-nodes").hint("merge"), "node"), "open-texts")
+
+    answers = stored(answers_of_pivots(texts, placed), "answers")
+    links = stored(similar_pairs(texts, pairs).union(answers.where(_similar(F.col("overlap"), F.col("na"), F.col("nb"))).select("a", "b")).union(derived_links(answers)).distinct(), "links")
+    discard(pairs, placed, nodes, texts, answers)
     release(spark)
-    across = links_across(texts, balls)
-    final = joined
-    more = stored(across.union(compare_pairs(texts, rest).where(similar).select("a", "b")), "more")
-    if not more.isEmpty():
-        final = stored(components(links.union(more)), "round-2")
+    joined = components(links)
+    discard(links)
+    named = stored(classes.join(joined, "node", "left").select("k1", "k2", "sets", F.coalesce("component", "node").alias("component_id")), "named")
+    discard(classes)
     release(spark)
+    return with_components(sets, named)
 
-    named = stored(classes.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id")), "named")
-    discard(light, late, stars, reach, tried, answers, apart, mixed, shared, placed, rest, balls, texts, across, more, classes)
-    release(spark)
-    result = sets.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+def with_components(sets: DataFrame, named: DataFrame) -> DataFrame:
+    """The result: rows of `sets` with the component of their class; rows of hot classes aren't dealt by class."""
+    hot = named.where(F.col("sets") * HOT >= named.agg(F.sum("sets")).first()[0]) if not named.isEmpty() else named
+    hot = hot.select("k1", "k2", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot"))
+    marked = sets.join(F.broadcast(hot), ["k1", "k2"], "left")
+    out = lambda rows, component: rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    rest = marked.where("n > 0 and hot is null").join(named.select("k1", "k2", "component_id"), ["k1", "k2"], "left")
+    return out(marked.where("n > 0 and hot"), F.col("hot_id")).union(out(rest, F.col("component_id"))).union(out(sets.where("n = 0"), F.col("doc_id")))
