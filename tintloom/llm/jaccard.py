@@ -35,9 +35,9 @@ SHINGLE = 5
 #: An element in more than LIGHT sets is heavy. HEAVY_MOST bounds what is broadcast: where more elements are heavy, LIGHT is doubled.
 LIGHT, HEAVY_MOST = 16, 2_000_000
 #: Elements counted together in a chunk of texts, and bytes of text for each cell of element hashes.
-CHUNK, CELL = 4 << 20, 32 << 20
+CHUNK, CELL = 1 << 20, 32 << 20
 #: Bytes of text handled at once, sets of a block of an index list, sets of a block around a pivot, columns of a product.
-PIECE, BLOCK, BALL, COLUMNS = 1 << 19, 8, 1000, 4096
+PIECE, BLOCK, BALL, COLUMNS = 1 << 19, 8, 1000, 1024
 #: A class of equal sets with a thousandth of all rows is hot; there can't be more than a thousand such.
 HOT = 1000
 
