@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -28,10 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class _Tables(threading.local):
+    """Paths of the stored tables of a thread that exist, in the order they were made."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_tables = _Tables()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """URI of the folder that all machines share: spark.checkpoint.dir, or one of our own where unset."""
+    """URI of the folder that all machines share: spark.checkpoint.dir, or, in local mode only, one of our own where unset."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("tintloom.shared.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="tintloom-")
         spark.conf.set("tintloom.shared.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
@@ -46,18 +59,36 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written as a table on shared storage and read back: lineage ends here, sizes are known."""
     path = new_path(frame.sparkSession, name)
+    _tables.paths.append(path)
     frame.write.parquet(path)
     read = frame.sparkSession.read.schema(frame.schema).parquet(path)
     read._stored_at = path
     return read
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    if path in _tables.paths:
+        _tables.paths.remove(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more; what was made of them is stored itself."""
     for frame in frames:
-        jvm, context = frame.sparkSession._jvm, frame.sparkSession.sparkContext._jsc
-        path = jvm.org.apache.hadoop.fs.Path(frame._stored_at)
-        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+        _delete(frame.sparkSession, frame._stored_at)
+
+
+def made() -> int:
+    """A mark for discard_since."""
+    return len(_tables.paths)
+
+
+def discard_since(kept: DataFrame, mark: int) -> None:
+    """Deletes all stored tables made after a mark but `kept`: for callers that have stored what they read."""
+    for path in _tables.paths[mark:]:
+        if path != kept._stored_at:
+            _delete(kept.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
