@@ -90,6 +90,10 @@ def test_mix(spark):
     assert mixed.columns == docs.columns and mixed.where("`__copies` <> 'mine'").count() == 0
     assert mixed.count() == plan.agg(F.sum("__copies")).first()[0] == mix.mix(docs.repartition(7)).count()
     assert mix.mix(docs.limit(0)).count() == 0
+    nobody = spark.createDataFrame([(i % 2 or None, "s" if i < 800 else "t", f"{i} w") for i in range(1000)], "doc_id long, source string, text string")
+    plan = mix.plan_mix(nobody)
+    for r in plan.groupBy("source").agg(F.sum(F.col("__copies") * F.col("__size")).alias("n"), F.first("__target").alias("t")).collect():
+        assert r["n"] == pytest.approx(r["t"], rel=0.1)
 
 
 def _shingles(text):

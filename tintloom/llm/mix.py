@@ -2,7 +2,7 @@
 
 Sizes are summed per source, targets follow from the weights, and rate = target / source size says how often
 a document of the source is taken: floor(rate) times, and once more with probability equal to the fraction,
-drawn from a hash of seed and document id. Only one row per source is ever brought together.
+drawn from a hash of seed, document id and text. Only one row per source is ever brought together.
 """
 
 from __future__ import annotations
@@ -56,15 +56,16 @@ def draw(seed: str, *keys: Column) -> Column:
 def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """`docs` with __size, __source_size, __target and __copies (how often the mix takes the row).
 
-    A null text has size 0, a null source is a source of its own. Repeated rows are drawn alike. A source
-    whose documents are all empty has rate 0. No rows give no rows.
+    A null text has size 0, a null source is a source of its own. Rows that share an id, or have none, are
+    drawn by their texts; rows alike in both are drawn alike. A source whose documents are all empty has
+    rate 0. No rows give no rows.
     """
     sized = docs.withColumn("__size", word_count(F.col("text")))
     targets = stored(source_targets(sized.select("source", F.col("__size").alias("size")), weights, share, most), "targets")
     targets = targets.select(F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(0.0)
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("__source")), "inner").drop("__source")
-    extra = (draw(seed, F.col("doc_id")) < rate - F.floor(rate)).cast("long")
+    extra = (draw(seed, F.col("doc_id"), F.md5("text")) < rate - F.floor(rate)).cast("long")
     return joined.withColumn("__copies", F.floor(rate) + extra)
 
 

@@ -101,7 +101,7 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sql(docs: str) -> str:
     """The mix over the relation `docs` as a statement with columns doc_id, size, source_size, target, copies."""
     return rf"""
-WITH z AS (SELECT doc_id, source, coalesce(length(regexp_replace(regexp_replace(text, '[^\x20\x09-\x0D]+', 'x', 'g'), '[^x]', '', 'g')), 0) AS size FROM {docs}),
+WITH z AS (SELECT doc_id, source, text, coalesce(length(regexp_replace(regexp_replace(text, '[^\x20\x09-\x0D]+', 'x', 'g'), '[^x]', '', 'g')), 0) AS size FROM {docs}),
 s AS (SELECT source, sum(size)::DOUBLE AS s FROM z GROUP BY source),
 w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, s * 2.0::DOUBLE AS c FROM s),
 b AS (
@@ -115,7 +115,7 @@ g AS (
   FROM k),
 r AS (SELECT z.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM z JOIN g ON z.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
-       floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies
+       floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies
 FROM r
 """
 
