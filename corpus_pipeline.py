@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tintloom.llm import decontaminate, jaccard, mix, pfor, quality
-from tintloom.llm.common import stored, table
+from tintloom.llm.common import discard_since, made, stored, table
 from tintloom.llm.queries import tokenizer_path
 
 
@@ -21,11 +21,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; without an id there is no group, so those stay."""
-    found = jaccard.near_duplicates(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One row of each near-duplicate group: of the smallest doc_id, those without one last.
+
+    Rows are told apart by a number of their own, so rows that share a doc_id or have none are compared like
+    any others, and of rows repeated as a whole one stays. A row without words is in no group and stays.
+    """
+    number = next(n for i in range(len(docs.columns) + 1) if (n := f"row_{i}") not in docs.columns)
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"))
+    placed = groups.select(F.col("doc_id").alias(number), "component_id").join(rows.select(number, "doc_id"), number)
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", number)).alias("first"))
+    return rows.join(first.select(F.col("first")[number].alias(number)), number, "left_semi").select(*docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +63,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written as a table and read by the next."""
+    """All stages over `documents`, each written as a table and read by the next; then what it worked with is deleted."""
     docs = table(spark, sf_dir, "documents")
+    start = made()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        discard_since(docs, start)
     return STAGES[-1][1](spark, docs, sf_dir)
