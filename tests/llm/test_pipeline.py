@@ -49,6 +49,12 @@ def test_run(spark):
 
 
 def test_rows_without_an_id_or_text_stay_or_go(spark):
-    docs = spark.createDataFrame([(1, "a b c d e f", "en", "s"), (2, "a b c d e f", "en", "s"), (None, "a b c d e f", "en", "s"), (4, None, None, None)], "doc_id long, text string, lang string, source string")
-    assert sorted((r.doc_id or 0) for r in P.keep_one_of_each_group(spark, docs, SF).collect()) == [0, 1, 4]
+    near = "k l m n o p q r s t u v w x y z".split()
+    rows = [(None, "a b c d e f"), (2, "a b c d e f"), (1, "a b c d e f"), (4, None), (4, None), (None, ""), (5, " ".join(near * 3)), (5, " ".join(near * 3)), (5, "g h i j k")]
+    rows += [(None, f"{' '.join(near * 3)} {k}") for k in range(3)] + [(None, "without an id"), (None, "without an id")]
+    docs = spark.createDataFrame([(d, t, "en", "s", i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, row_0 int")
+    kept = P.keep_one_of_each_group(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in kept.collect()) == sorted([(1, "a b c d e f"), (4, ""), (4, ""), (0, ""), rows[6], rows[8], (0, "without an id")])
+    assert P.keep_one_of_each_group(spark, docs.limit(0), SF).count() == 0
     assert P.keep_good(spark, docs, SF).count() == 0 and P.mix_sources(spark, docs.limit(0), SF).count() == 0
