@@ -449,6 +449,27 @@ def test_html_attributes():
     assert html_text.extract(page, None) == "Head One two Three four five six"
 
 
+def test_html_keeps_what_only_sounds_like_furniture():
+    page = """<article><p class="social-history">one</p><div class="article-header">two</div><fieldset>three</fieldset><p>a &am<b>p;</b> b</p><p class="shared-memory">x &amp<i>; y</i></p>
+<div class="share-buttons">no</div><div id="postComments">no</div><div class="x related-posts">no</div><div class="cookie-notice">no</div><p class="header">four</p></article>"""
+    assert html_text.extract(page, None) == "one two three a &amp; b x &; y four"
+
+
+def test_html_without_article_or_main():
+    words, head = "some text " * 40, "<h1>Head</h1>"
+    whole = f"Head {words.strip()}"
+    inner = f"<div class=title>{head}</div><div class=body><p>{words}</p></div>"
+    assert html_text.extract(f"<body>{inner}</body>", None) == whole
+    assert html_text.extract(f"<body><div class=wrap>{inner}<div class=sidebar>no</div></div><div class=legal>rights {'x ' * 20}</div></body>", None) == whole
+    assert html_text.extract(f"<body><div class=wrap>{inner}</div><div><a href=x>{'other pages ' * 9}</a></div></body>", None) == whole
+
+
+@pytest.mark.parametrize("part", ["<div>x", "<b>x", "<article>x", "<main><p>x", "<li><b>x", "<b></i>x", "<table><tr><td>x", "<p title='", "<!--", "<script>"])
+def test_html_of_very_deep_pages(part):
+    page = part * 20_000
+    assert html_text.extract(page, html_text.vote(page)).count("x") == page.count("x")
+
+
 def test_html_beside_the_best_container(spark):
     h, p, more = "<h1>A headline of some words</h1>", "<p>The lead.</p>", "words that go on and on " * 40
     bodies = {

@@ -32,15 +32,23 @@ IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
 # What the extraction leaves out: elements, roles, and words of a class or id.
-DROPPED = frozenset("head nav footer aside form button select dialog menu fieldset search".split())
+DROPPED = frozenset("head nav footer aside form button select dialog menu search".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 DROPPED_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation "
     "newsletter notice popup promo promotion related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that name the part or the place of furniture, those of a head, and those of an article, whose head is its own.
+NEUTRAL_WORDS = frozenset(
+    "area article bar block blog bottom box btn button buttons center column container content count desktop entry form global group icon icons inline inner item items label left link links list message mobile module "
+    "msg news outer overlay page panel post posts region right row section sign signup site slot sticky story sub text thread title top unit up user users view wrap wrapper zone".split()
+)
+HEADS, TEXTS = frozenset("banner header masthead".split()), frozenset("article content entry post story".split())
 CONTAINERS = frozenset("article body div main section td".split())
 #: Score of a container for its name, and the share of a container's score that its parent gets.
 NAMED, PARENT = {"article": 1.5, "main": 1.3}, 0.5
+#: What a container around the best one may add, as a share of its text.
+WIDEN = 0.3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|noembed|noframes|xmp)\b[^>]*+>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z)"
@@ -55,11 +63,28 @@ WORDS, CAMEL = re.compile(r"[a-z]+"), re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "chars", "linked", "score", "order")
-
-    def __init__(self, tag: str, path: str, parent: Element | None, dropped: bool, order: int):
-        self.tag, self.path, self.parent, self.dropped, self.order = tag, path, parent, dropped, order
-        self.chars, self.linked, self.score = 0, 0, 0.0
+    """An element with what it takes from those around it: nothing is looked up along the ancestors later."""
+
+    __slots__ = ("tag", "step", "key", "parent", "dropped", "order", "holder", "linking", "article", "main", "chars", "linked", "score", "headed")
+
+    def __init__(self, tag: str, step: str, parent: Element | None, dropped: bool, order: int):
+        self.tag, self.step, self.parent, self.dropped, self.order = tag, step, parent, dropped, order
+        #: Stands for the path within this process; inline elements have their parent's.
+        self.key: int = 0 if parent is None else hash((parent.key, step)) if step else parent.key
+        holds = parent is None or tag in CONTAINERS
+        self.holder: Element = self if holds else parent.holder
+        self.linking: bool = not holds and (tag == "a" or parent.linking)
+        self.article: Element | None = self if tag == "article" else parent and parent.article
+        self.main: Element | None = self if tag == "main" else parent and parent.main
+        self.chars, self.linked, self.score, self.headed = 0, 0, 0.0, False
+
+    def path(self) -> str:
+        steps, e = [], self
+        while e is not None:
+            if e.step:
+                steps.append(e.step)
+            e = e.parent
+        return "/".join(reversed(steps))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -79,22 +104,39 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
 
 
 def _dropped(tag: str, attrs: dict[str, str], inside: bool) -> bool:
-    """Whether an element is furniture; a header inside an article or main holds its headline and stays."""
+    """Whether an element is furniture; a header inside an article or main holds its headline and stays.
+
+    A class or id counts if it has a word of furniture and no other words but neutral ones, so "share-buttons"
+    does and "social-history" doesn't.
+    """
     if tag in DROPPED or (tag == "header" and not inside):
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or HIDDEN_STYLE.search(attrs.get("style", "")):
         return True
-    words = set(WORDS.findall(CAMEL.sub(" ", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()))
-    return attrs.get("role", "").lower() in DROPPED_ROLES or bool(words & DROPPED_WORDS)
+    if attrs.get("role", "").lower() in DROPPED_ROLES:
+        return True
+    for name in [*attrs.get("class", "").split(), attrs.get("id", "")]:
+        words = set(WORDS.findall(CAMEL.sub(" ", name).lower()))
+        if inside or words & TEXTS:
+            words -= HEADS
+        if words & DROPPED_WORDS and words <= DROPPED_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     """The elements of a page and its pieces of text: (innermost element, text, whether a block begins here)."""
     root = Element("", "", None, False, 0)
     stack, elements, pieces, fresh, at = [root], [root], [], True, 0
-    inside = 0
+    open_: dict[str, int] = {}
+
+    def close(i: int) -> None:
+        for e in stack[i:]:
+            open_[e.tag] -= 1
+        del stack[i:]
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
             pieces.append((stack[-1], page[at : m.start()], fresh))
@@ -105,10 +147,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
             continue
         fresh = fresh or tag in BLOCKS
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                 if stack[i].tag == tag:
-                    inside -= sum(e.tag in ("article", "main") for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if tag not in BLOCKS and stack[i].tag in BLOCKS:
                     break  # an inline end tag closes nothing beyond its block
@@ -116,16 +157,18 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
         if tag in VOID:
             continue
         closes, stops = IMPLIED.get(tag, (set(), set()))
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in closes or (stack[i].tag == "p" and tag in CLOSES_P):
-                del stack[i:]
+        ends_p = tag in CLOSES_P and open_.get("p")
+        for i in range(len(stack) - 1, 0, -1) if ends_p or any(open_.get(t) for t in closes) else ():
+            if stack[i].tag in closes or (stack[i].tag == "p" and ends_p):
+                close(i)
                 break
             if stack[i].tag in stops or stack[i].tag in BLOCKS and tag not in IMPLIED:
                 break
         attrs = _attributes(m["attrs"] or m["attrs2"] or "")
         parent = stack[-1]
-        element = Element(tag, f"{parent.path}/{_step(tag, attrs)}" if tag in BLOCKS else parent.path, parent, parent.dropped or _dropped(tag, attrs, inside > 0), len(elements))
-        inside += tag in ("article", "main")
+        inside = parent.article is not None or parent.main is not None
+        element = Element(tag, _step(tag, attrs) if tag in BLOCKS else "", parent, parent.dropped or _dropped(tag, attrs, inside), len(elements))
+        open_[tag] = open_.get(tag, 0) + 1
         elements.append(element)
         stack.append(element)
     if at < len(page):
@@ -133,55 +176,52 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     return elements, pieces
 
 
-def _above(e: Element | None, tag: str) -> Element | None:
-    """The innermost element of a name around `e`, or `e` itself."""
-    while e is not None and e.tag != tag:
-        e = e.parent
-    return e
-
-
 def _widened(best: Element, elements: list[Element]) -> Element:
-    """The article around a container, or else its main: headline and lead often stand beside the container.
+    """The container with what belongs to it: headline and lead often stand beside it.
 
-    A main with one article is taken whole, unless most of the text beside the article is links.
+    Inside an article or main that is the article, or the main where it has one article and most of the text
+    beside that isn't links. Elsewhere it is the container around, as long as that adds little text, which isn't
+    mostly links; the whole body only where the headline is in what it adds.
     """
-    article, main = _above(best, "article"), _above(best, "main")
-    if article is None or main is None:
-        return article or main or best
-    chars = linked = 0
-    inside = {id(article)}
-    for e in elements[article.order + 1 :]:  # parents come before their children
-        if id(e.parent) in inside:
-            inside.add(id(e))
-    for e in elements[main.order :]:
-        if id(e) in inside or e.dropped or _above(e, "main") is not main:
-            continue
-        if e.tag == "article":
+    article, main = best.article, best.main
+    if article is not None and main is not None:
+        if any(e.tag == "article" and not e.dropped and e.main is main and e.article is e and e is not article and (e.parent is None or e.parent.article is not article) for e in elements[main.order :]):
             return article
-        chars, linked = chars + e.chars, linked + e.linked
-    return main if 2 * linked < chars else article
+        chars, linked = main.chars - article.chars, main.linked - article.linked
+        return main if 2 * linked < chars else article
+    if article or main:
+        return article or main
+    while best.parent is not None and (up := best.parent.holder).parent is not None:
+        chars, linked = up.chars - best.chars, up.linked - best.linked
+        if chars > WIDEN * best.chars or 2 * linked > chars or (up.tag == "body" and not (up.headed and not best.headed)):
+            break
+        best = up
+    return best
 
 
 def best_container(elements: list[Element], pieces: list[tuple[Element, str, bool]]) -> Element | None:
     """The container with the highest score, widened: the text of its paragraphs without links, and part of its inner containers'."""
+    own: dict[int, list[int]] = {}
     for element, text, _ in pieces:
         if element.dropped:
             continue
-        n, linked = len(text.strip()), False
-        while element.parent is not None and element.tag not in CONTAINERS:
-            linked = linked or element.tag == "a"
-            element = element.parent
-        element.chars += n
-        element.linked += n * linked
+        n = len(text.strip())
+        sums = own.setdefault(element.holder.order, [0, 0])
+        sums[0] += n
+        sums[1] += n * element.linking
     best = None
     for e in reversed(elements):  # children come before their parents
-        own = max(0, e.chars - 2 * e.linked)
-        e.score += own * NAMED.get(e.tag, 1.0)
-        up = e.parent
-        while up is not None and up.parent is not None and up.tag not in CONTAINERS:
-            up = up.parent
+        up = e.parent and e.parent.holder
+        if e.tag == "h1" and not e.dropped:
+            up.headed = True
+        if e.holder is not e:
+            continue
+        chars, linked = own.get(e.order, (0, 0))
+        e.chars, e.linked = e.chars + chars, e.linked + linked
+        e.score += max(0, chars - 2 * linked) * NAMED.get(e.tag, 1.0)
         if up is not None:
             up.score += e.score * PARENT
+            up.chars, up.linked, up.headed = up.chars + e.chars, up.linked + e.linked, up.headed or e.headed
         if e.tag in CONTAINERS and not e.dropped and e.score > 0 and (best is None or e.score >= best.score):
             best = e
     # Text outside of any container belongs to the page itself.
@@ -189,24 +229,25 @@ def best_container(elements: list[Element], pieces: list[tuple[Element, str, boo
 
 
 def text_of(elements: list[Element], pieces: list[tuple[Element, str, bool]], roots: list[Element]) -> str:
-    """Text of the blocks inside `roots`: references decoded, white space single, blocks joined by a blank."""
-    wanted = {id(r) for r in roots}
-    under: dict[int, bool] = {}
+    """Text of the blocks inside `roots`: references decoded piece by piece, white space single, blocks joined by a blank."""
+    wanted = {r.order for r in roots}
+    under: list[bool] = []
     for e in elements:  # parents come before their children
-        under[id(e)] = id(e) in wanted or (e.parent is not None and under[id(e.parent)])
+        under.append(e.order in wanted or (e.parent is not None and under[e.parent.order]))
     out: list[str] = []
     for element, text, fresh in pieces:
-        if element.dropped or not under[id(element)]:
+        if element.dropped or not under[element.order]:
             out.append(" ")
             continue
+        text = entities.unescape(text) if "&" in text else text
         out.append(f" {text}" if fresh else text)
-    return " ".join(entities.unescape("".join(out)).split())
+    return " ".join("".join(out).split())
 
 
 def vote(page: str | None) -> str | None:
     """The generalised path of a page's best container."""
     best = best_container(*parse(page)) if page else None
-    return best.path or None if best else None
+    return best.path() or None if best else None
 
 
 def extract(page: str | None, path: str | None) -> str:
@@ -214,7 +255,10 @@ def extract(page: str | None, path: str | None) -> str:
     if not page:
         return ""
     elements, pieces = parse(page)
-    roots = [e for e in elements if path and e.path == path and e.tag in CONTAINERS and not e.dropped]
+    key = 0
+    for step in path.split("/") if path else ():
+        key = hash((key, step))
+    roots = [e for e in elements if path and e.key == key and e.tag in CONTAINERS and not e.dropped and e.path() == path]
     text = text_of(elements, pieces, roots) if roots else ""
     if not text and (best := best_container(elements, pieces)):
         text = text_of(elements, pieces, [best])
