@@ -130,7 +130,8 @@ def price_text(value: Column) -> Column:
 
 
 def size_label(value: Column, unit: Column) -> Column:
-    return F.coalesce(none_if_empty(strip(F.concat_ws(" ", value.cast("string"), unit))), F.lit(MISSING))
+    parts = [F.coalesce(strip(c.cast("string")), F.lit("")) for c in (value, unit)]
+    return F.coalesce(none_if_empty(strip(F.concat_ws(" ", *parts))), F.lit(MISSING))
 
 
 def unit_price_text(value: Column, unit: Column) -> Column:

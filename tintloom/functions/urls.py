@@ -23,20 +23,35 @@ class HostPolicy(NamedTuple):
     swatch_template: str = "https://media.shop.example/i/%1$s_sw?img404=%1$s&w=400&fmt=auto"
 
 
+def undotted(url: Column) -> Column:
+    """The URL with `.` and `..` taken out of its path; `..` at the top is ignored."""
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    steps = F.split(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), "/", -1)
+    last = F.element_at(steps, -1)
+    kept = F.aggregate(
+        F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(step == ".", done).otherwise(F.array_append(done, step)),
+    )
+    path = F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept), "/"))
+    return F.concat(origin, path, F.regexp_extract(url, r"^[^?#]*(.*)$", 1))
+
+
 def resolved(url: Column, base: Column) -> Column:
-    """`url` against `base`: absolute, scheme-relative, host-relative, query, fragment or path-relative."""
+    """`url` against `base`: absolute, scheme-relative, host-relative, query, fragment or path-relative; dots in a relative path are followed."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     bare = F.regexp_replace(base, r"[?#].*$", "")
+    stepped = lambda u: F.when(u.rlike(r"^[^?#]*/\.\.?(?:[/?#]|$)"), undotted(u)).otherwise(u)
     folder = F.when(bare.rlike(r"://[^/]*/"), F.regexp_replace(bare, r"[^/]*$", "")).otherwise(F.concat(bare, F.lit("/")))
     return (
         F.when(url.isNull() | (url == ""), base)
         .when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), url)
         .when(url.startswith("//"), F.concat(scheme, F.lit(":"), url))
-        .when(url.startswith("/"), F.concat(origin, url))
+        .when(url.startswith("/"), stepped(F.concat(origin, url)))
         .when(url.startswith("?"), F.concat(bare, url))
         .when(url.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), url))
-        .otherwise(F.concat(folder, url))
+        .otherwise(stepped(F.concat(folder, url)))
     )
 
 
@@ -46,7 +61,8 @@ def host(url: Column) -> Column:
 
 
 def path(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    """The path without parameters after a semicolon in its last part."""
+    return F.regexp_replace(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), ";[^/]*$", "")
 
 
 def parameter(url: Column, name: str) -> Column:
@@ -110,5 +126,5 @@ def source_type(url: Column) -> Column:
 def collection_name(url: Column, default: str = "collection") -> Column:
     """A name for a URL: its product token, else its last path segment as a slug, else the default."""
     segment = F.element_at(F.split(F.regexp_replace(path(url), "/+$", ""), "/"), -1)
-    slug = F.regexp_replace(F.regexp_replace(F.lower(segment), r"[^a-z0-9]+", "_"), "^_+|_+$", "")
+    slug = F.regexp_replace(F.regexp_replace(F.lower(segment), r"[^a-z0-9_-]+", "-"), "^[-_]+|[-_]+$", "")
     return F.coalesce(F.lower(product_token(url)), none_if_empty(slug), F.lit(default))

@@ -24,6 +24,14 @@ class Node:
     def classes(self) -> list[str]:
         return self.attrs.get("class", "").split()
 
+    def index(self) -> dict[str, list[Node]]:
+        """The elements below by tag, by class (with a dot before it), and all under an empty name, in document order."""
+        found: dict[str, list[Node]] = {"": []}
+        for node in self.descendants():
+            for name in {"", node.tag, *(f".{c}" for c in node.classes)}:
+                found.setdefault(name, []).append(node)
+        return found
+
     def descendants(self) -> Iterator[Node]:
         """All elements below, in document order."""
         stack = [c for c in reversed(self.children) if isinstance(c, Node)]
@@ -117,6 +125,12 @@ def _compound(text: str):
     return lambda n: all(test(n) for test in tests)
 
 
+def _name(text: str) -> str:
+    """The tag or class that every element of a compound has, if it names one."""
+    m = _PART.match(text)
+    return m["tag"].lower() if m["tag"] else f".{m['cls']}" if m["cls"] else ""
+
+
 def _split(text: str, mark: str) -> list[str]:
     """Parts between marks that stand outside brackets."""
     return [p for p in re.split(rf"{mark}(?![^\[]*\])", text.strip()) if p.strip()]
@@ -126,7 +140,9 @@ class Selector:
     """Tags, classes and attributes (present, equal, containing), descendants, and alternatives with commas."""
 
     def __init__(self, text: str):
-        self.chains = [[_compound(part) for part in _split(one, r"\s+")] for one in _split(text, r"\s*,\s*")]
+        parts = [_split(one, r"\s+") for one in _split(text, r"\s*,\s*")]
+        self.chains = [[_compound(part) for part in one] for one in parts]
+        self.names = {_name(one[-1]) for one in parts}
 
     def matches(self, node: Node) -> bool:
         for chain in self.chains:
@@ -142,8 +158,15 @@ class Selector:
                 return True
         return False
 
-    def all(self, root: Node) -> Iterator[Node]:
-        return (n for n in root.descendants() if self.matches(n))
+    def all(self, root: Node, index: dict[str, list[Node]] | None = None) -> Iterator[Node]:
+        """The matching elements below `root` in document order; an index of it spares the walk."""
+        if index is None:
+            among = root.descendants()
+        elif len(self.names) == 1:
+            among = index.get(next(iter(self.names)), [])
+        else:
+            among = sorted({n.number: n for name in self.names for n in index.get(name, [])}.values(), key=lambda n: n.number)
+        return (n for n in among if self.matches(n))
 
-    def first(self, root: Node | None) -> Node | None:
-        return next(self.all(root), None) if root is not None else None
+    def first(self, root: Node | None, index: dict[str, list[Node]] | None = None) -> Node | None:
+        return next(self.all(root, index), None) if root is not None else None

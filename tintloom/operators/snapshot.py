@@ -26,7 +26,9 @@ def positions(frame: DataFrame, order: Sequence[str], name: str = "position") ->
     and only these sizes are summed in one place.
     """
     cols = [F.col(c) for c in order]
-    dealt = frame.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    # A given count of partitions: both branches below must see the same ones, so none may be coalesced.
+    count = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = frame.repartitionByRange(count, *cols).sortWithinPartitions(*cols)
     placed = dealt.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -133,30 +135,37 @@ def failures_of(outcomes: DataFrame, stage: str, occurred_at: Column) -> DataFra
     )
 
 
-def pagination(pages: DataFrame, start: Column | str, max_pages: int = 100) -> DataFrame:
-    """(url, page_no) of the pages reached from `start` by their `next` links: no page twice, at most max_pages.
+def pagination_from(pages: DataFrame, starts: DataFrame, max_pages: int = 100) -> DataFrame:
+    """(start, url, page_no) of the pages reached from each start by their `next` links: no page twice, at most max_pages.
 
-    `pages` has url and next. A page whose products (column product_ids, if there) all came on pages before it
-    is the last.
+    `pages` has url and next, `starts` has start. Every hop is one join of all chains with the pages.
     """
-    spark, view = pages.sparkSession, f"pages_{uuid.uuid4().hex}"
-    pages.createOrReplaceTempView(view)
-    first = start if isinstance(start, str) else None
+    spark, names = pages.sparkSession, [f"{n}_{uuid.uuid4().hex}" for n in ("pages", "starts")]
+    pages.select("url", "next").createOrReplaceTempView(names[0])
+    starts.select("start").createOrReplaceTempView(names[1])
     try:
-        chain = spark.sql(
-            f"""WITH RECURSIVE chain(url, next, page_no, seen) AS (
-              SELECT url, next, 1, array(url) FROM {view} WHERE url = :start
+        return spark.sql(
+            f"""WITH RECURSIVE chain(start, url, next, page_no, seen) MAX RECURSION LEVEL {max_pages + 1} AS (
+              SELECT s.start, p.url, p.next, 1, array(p.url) FROM {names[1]} s JOIN {names[0]} p ON p.url = s.start
               UNION ALL
-              SELECT p.url, p.next, c.page_no + 1, array_append(c.seen, p.url)
-              FROM chain c JOIN {view} p ON p.url = c.next WHERE c.page_no < :most AND NOT array_contains(c.seen, p.url))
-            SELECT url, page_no FROM chain""",
-            args={"start": first, "most": max_pages},
+              SELECT c.start, p.url, p.next, c.page_no + 1, array_append(c.seen, p.url)
+              FROM chain c JOIN {names[0]} p ON p.url = c.next WHERE c.page_no < {max_pages} AND NOT array_contains(c.seen, p.url))
+            SELECT start, url, page_no FROM chain"""
         )
-        if "product_ids" not in pages.columns:
-            return chain
-        listed = chain.join(pages.select("url", F.explode("product_ids").alias("id")), "url")
-        fresh = listed.groupBy(F.lower("id").alias("id")).agg(F.min("page_no").alias("page_no")).groupBy("page_no").agg(F.count(F.lit(1)).alias("fresh"))
-        stop = chain.join(fresh, "page_no", "left").where("fresh is null").agg(F.coalesce(F.min("page_no"), F.lit(max_pages)).alias("stop"))
-        return chain.crossJoin(stop).where("page_no <= stop").select("url", "page_no")
     finally:
-        spark.catalog.dropTempView(view)
+        for name in names:
+            spark.catalog.dropTempView(name)
+
+
+def pagination(pages: DataFrame, start: str, max_pages: int = 100) -> DataFrame:
+    """(url, page_no) of the chain from one start; a page whose products (column product_ids, if there) all came on pages before it is the last."""
+    spark = pages.sparkSession
+    chain = pagination_from(pages, spark.createDataFrame([(start,)], "start string"), max_pages).select("url", "page_no")
+    if "product_ids" not in pages.columns:
+        return chain
+    # At most max_pages rows; walked once, not again for each use below.
+    chain = spark.createDataFrame(chain.collect(), chain.schema)
+    listed = chain.join(pages.select("url", F.explode("product_ids").alias("id")), "url")
+    fresh = listed.groupBy(F.lower("id").alias("id")).agg(F.min("page_no").alias("page_no")).groupBy("page_no").agg(F.count(F.lit(1)).alias("fresh"))
+    stop = chain.join(fresh, "page_no", "left").where("fresh is null").agg(F.coalesce(F.min("page_no"), F.lit(max_pages)).alias("stop"))
+    return chain.crossJoin(stop).where("page_no <= stop").select("url", "page_no")

@@ -29,7 +29,7 @@ def part_pages(spark, sf_dir):
     html = F.concat(
         F.lit('<html><head><script type="application/ld+json">{broken</script><script type="application/ld+json">'), shaped, F.lit('</script></head><body><main><h1>x</h1><div class="a ProductPricing">'), price,
         F.lit('</div><p class="ProductDimension">Size: <b>'), F.col("p_size"), F.lit(' oz</b></p><div class="ProductSwatches ProductSwatches--content"><legend>Shade</legend><a href="/p/y-prod1?sku='), k + 1, F.lit('"><img src="/s/1.png" alt="b"></a></div>'),
-        F.lit("<section><h3>Ingredients:</h3><p>"), F.col("p_type"), F.lit("&amp;water</p></section></main><a href='/p/z-vp"), k, F.lit("'>z</a><a href='?page=2'>Load  more</a></body></html>"),
+        F.lit("<section><h3>Ingredients:</h3><p>"), F.col("p_type"), F.lit("&amp;water</p></section></main><a href='/p/z-vp"), k, F.lit("'>z</a><a href='?page=2'><b>Load</b> more</a></body></html>"),
     )
     return read(spark, sf_dir, "part").select(k.alias("page_id"), F.concat(F.lit("https://www.shop.example/p/a-prod"), k, F.lit("?sku="), k, F.lit("&x=1")).alias("url"), html.alias("html"))
 
@@ -42,7 +42,7 @@ def part_pages(spark, sf_dir):
   2::INT AS n_urls FROM part""")
 def jsonld_product(spark, sf_dir):
     """Products, variants and ingredients of all part pages."""
-    found = P.product_rows(P.raw_pages(part_pages(spark, sf_dir)), POLICY)
+    found = P.product_rows(P.raw_pages(part_pages(spark, sf_dir), parts="product"), POLICY)
     return found.select(
         "url", "product.product_id", "variant.sku_id", "product.brand", "product.product_name", "variant.variant_name", "variant.variant_type", "variant.list_price", "variant.sale_price", "variant.size_text", "variant.availability",
         "product.rating", "product.review_count", F.col("variant.variant_image_url").alias("image"), F.col("variant.swatch_image_url").alias("swatch"), "ingredient.ingredients", "variant.ingredient_set_id", F.size("variant_urls").alias("n_urls"),
@@ -51,18 +51,18 @@ def jsonld_product(spark, sf_dir):
 
 @R.query("SELECT 'https://www.shop.example/p/a-prod' || p_partkey || '?sku=' || p_partkey || '&x=1' AS url, unnest(['prod1', 'vp' || p_partkey]) AS product_id FROM part")
 def listing_links(spark, sf_dir):
-    return P.listing_products(P.raw_pages(part_pages(spark, sf_dir)), POLICY).select("url", "product_id")
+    return P.listing_products(P.raw_pages(part_pages(spark, sf_dir), parts="listing"), POLICY).select("url", "product_id")
 
 
 @R.query("SELECT 'https://www.shop.example/p/a-prod' || p_partkey || '?sku=' || p_partkey || '&x=1' AS url, 'https://www.shop.example/p/a-prod' || p_partkey || '?page=2' AS next FROM part")
 def load_more_link(spark, sf_dir):
-    return P.next_pages(P.raw_pages(part_pages(spark, sf_dir)).withColumn("raw", F.col("raw").withField("links", F.transform("raw.links", lambda x: x.withField("text", F.regexp_replace(x["text"], " +", " "))))))
+    return P.next_pages(P.raw_pages(part_pages(spark, sf_dir), parts="links"))
 
 
 @R.query(r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) SELECT page_id, count(*) AS n_links, count(DISTINCT href) AS n_distinct FROM l GROUP BY 1""")
 def css_select(spark, sf_dir):
     """Links of the tables' own pages through the tree."""
-    found = P.raw_pages(read(spark, sf_dir, "pages"), ("page_id",)).select("page_id", F.explode("raw.links").alias("x"))
+    found = P.raw_pages(read(spark, sf_dir, "pages"), ("page_id",), "links").select("page_id", F.explode("raw.links").alias("x"))
     return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.count_distinct("x.href").alias("n_distinct"))
 
 

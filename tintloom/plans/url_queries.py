@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tintloom.functions import urls
@@ -11,7 +12,7 @@ from tintloom.plans.tables import Registry, read
 R = Registry()
 POLICY = urls.HostPolicy(hosts=(".example.com", ".example.net"), canonical="www.shop.example", parameter="page")
 HOST_SQL = r"nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '')"
-PATH_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+PATH_SQL = r"regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')"
 PARAM_SQL = r"nullif(regexp_extract(url, '^[^?#]*\?(?:[^#]*?&)??{0}=([^&#]+)', 1), '')"
 LINKS_SQL = r"""links AS (
   SELECT page_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS href
@@ -65,7 +66,7 @@ def source_type(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", urls.source_type(moved).alias("kind"))
 
 
-@R.query(rf"""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_extract(regexp_replace({PATH_SQL}, '/+$', ''), '([^/]*)$', 1)), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'collection') AS name FROM pages""")
+@R.query(rf"""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_extract(regexp_replace({PATH_SQL}, '/+$', ''), '([^/]*)$', 1)), '[^a-z0-9_-]+', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'collection') AS name FROM pages""")
 def slug_name(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", urls.collection_name(F.col("url")).alias("name"))
 
@@ -104,10 +105,42 @@ def next_link(spark, sf_dir):
     return found.where("href <> ''")
 
 
+RELATIVE = ("../x/{};v=1?page=2", "./{}", "/a/../../{}/..", "{}/../../y;p/z", "?page={}", "//h.example.com/./{}", "/a//{}/.")
+
+
+@R.query(r"""SELECT page_id, 'https://www.shop.example' || [
+    '/x/' || page_id || '?page=2', '/s/' || page_id, '/', '/y;p/z', '/s/t?page=' || page_id, '/./' || page_id, '/a//' || page_id || '/'][(page_id % 7 + 1)::INT] AS url FROM pages""")
+def url_resolve(spark, sf_dir):
+    """Relative addresses of every form against a page of the shop."""
+    shaped = F.element_at(F.array(*[F.replace(F.lit(r), F.lit("{}"), F.col("page_id").cast("string")) for r in RELATIVE]), (F.col("page_id") % len(RELATIVE) + 1).cast("int"))
+    return read(spark, sf_dir, "pages").select("page_id", urls.normalized(shaped, F.lit("https://h.example.com/s/t?q=1"), POLICY).alias("url"))
+
+
+@R.query(r"""SELECT page_id, ['prod1', 'face-lips_2', 'caf-x', 'collection', 'b-c'][(page_id % 5 + 1)::INT] AS name FROM pages""")
+def collection_names(spark, sf_dir):
+    """Names that a one-off run gets from its address."""
+    ends = ("/p/x-PROD1", "/shop/face-lips_2/", "/shop/Caf%x", "/--/", "/_B C-/")
+    url = F.concat(F.lit("https://www.shop.example"), F.element_at(F.array(*map(F.lit, ends)), (F.col("page_id") % 5 + 1).cast("int")))
+    return read(spark, sf_dir, "pages").select("page_id", urls.collection_name(url).alias("name"))
+
+
 @R.query("""WITH RECURSIVE t AS (SELECT 'c' || conv_id || '-' || turn AS url, 'c' || conv_id || '-' || (turn + 1) AS next FROM conversations GROUP BY ALL),
-  c AS (SELECT url, next, 1 AS page_no FROM t WHERE url = 'c0-0' UNION ALL SELECT t.url, t.next, page_no + 1 FROM c JOIN t ON t.url = c.next WHERE page_no < 100)
-  SELECT url, page_no::INT AS page_no FROM c""")
+  c AS (SELECT url AS start, url, next, 1 AS page_no FROM t WHERE url LIKE '%-0' UNION ALL SELECT start, t.url, t.next, page_no + 1 FROM c JOIN t ON t.url = c.next WHERE page_no < 200)
+  SELECT start, url, page_no::INT AS page_no FROM c""")
 def pagination_closure(spark, sf_dir):
     name = lambda turn: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), turn)
     pages = read(spark, sf_dir, "conversations").select(name(F.col("turn")).alias("url"), name(F.col("turn") + 1).alias("next")).distinct()
-    return snapshot.pagination(pages, "c0-0")
+    starts = pages.where(F.col("url").endswith("-0")).select(F.col("url").alias("start"))
+    return snapshot.pagination_from(pages, starts, 200)
+
+
+@R.query("""WITH RECURSIVE n AS (SELECT (SELECT count(*) FROM part) AS parts), c AS (SELECT 0 AS k UNION ALL SELECT k + 1 FROM c, n WHERE k < 120 AND (k * 7 < parts))
+  SELECT 'l' || k AS url, (k + 1)::INT AS page_no FROM c""")
+def pagination_stop(spark, sf_dir):
+    """A chain of listing pages of seven parts each ends with the first page that brings no new product, or after 121."""
+    parts = read(spark, sf_dir, "part").select((F.row_number().over(Window.orderBy("p_partkey")) - 1).alias("i"), F.col("p_partkey").cast("string").alias("id"))
+    listed = parts.groupBy(F.floor(F.col("i") / 7).alias("k")).agg(F.collect_list("id").alias("product_ids"))
+    old = F.array(F.lit("1"), F.lit("2"))
+    pages = spark.range(150).select(F.col("id").alias("k")).join(listed, "k", "left")
+    pages = pages.select(F.concat(F.lit("l"), "k").alias("url"), F.concat(F.lit("l"), F.col("k") + 1).alias("next"), F.coalesce("product_ids", old).alias("product_ids"))
+    return snapshot.pagination(pages, "l0", 121)
