@@ -116,5 +116,7 @@ def test_catalogue_tables(spark):
     inventory = spark.createDataFrame([("prod1", BASE, 1), ("prod2", "https://www.shop.example/p/x-prod2", 2)], "product_id string, product_url string, listing_position int")
     tables = runs.catalogue_tables(inventory, pages, POLICY, F.lit("2026-01-01T00:00:00Z"))
     assert {r.sku_id for r in tables["variants"].collect()} == {"11", "12"}
-    assert tables["products"].count() == 1 and [r.product_id for r in tables["completed"].collect()] == ["prod1"]
+    # A product whose variant failed isn't completed.
+    assert tables["products"].count() == 1 and tables["completed"].count() == 0
+    assert {(r.error_type, r.message) for r in tables["failures"].collect()} == {("LookupError", "page not found"), ("ParseError", "product data not found")}
     assert {(r.stage, r.product_id) for r in tables["failures"].collect()} == {("product", "prod2"), ("variant", "prod1")}

@@ -182,3 +182,81 @@ def test_stream(spark, tmp_path):
     assert run() == 1
     add((BASE, page(product())), (BASE.replace("11", "12"), page(product("12"))))
     assert run() == 2
+
+
+def test_catalogue_run_is_committed_in_batches_and_resumed(spark, tmp_path):
+    from test_pages import page, product
+
+    from tintloom.plans.catalogue_run import run_catalogue
+    from tintloom.sources.sinks import RunFolder
+
+    policy, at = HostPolicy(), "https://www.shop.example/p/x-prod{}?sku={}"
+    named = lambda p, s, body="": page(product(s, productID=f"prod{p}"), body)
+    more = lambda *urls: f'<div class="ProductSwatches--content">{"".join(f"<a href={chr(34)}{u}{chr(34)}>x</a>" for u in urls)}</div>'
+    pages = {
+        at.format(1, 11): named(1, "11", more(at.format(1, 11), at.format(1, 12), at.format(9, 12), at.format(1, 13))),
+        at.format(1, 12): named(1, "12"), at.format(2, 21): "<p>broken</p>", at.format(3, 31): named(3, "31", more(at.format(3, 31), at.format(8, 11))),
+    }
+    asked = []
+
+    def source(addresses):
+        asked.append(sorted(r.url for r in addresses.select("url").distinct().collect()))
+        return runs.stored_pages(spark.createDataFrame(list(pages.items()), "url string, html string"))(addresses)
+
+    inventory = lambda: spark.createDataFrame([(f"prod{i}", at.format(i, i * 10 + 1), None, i) for i in (1, 2, 3)], "product_id string, product_url string, listing_page string, listing_position int")
+    identity, folder = {"schema_version": 2, "collection": "c", "source_url": "u"}, str(tmp_path / "run")
+    found = run_catalogue(spark, inventory, source, policy, folder, identity, lambda: "2026-01-01T00:00:00Z", 1)
+    assert (found["status"], found["completed_product_count"], found["unresolved_product_count"], found["variant_count"], found["failure_attempt_count"]) == ("partial", 1, 2, 3, 2)
+    # The second address of SKU 12 and the other product's address of SKU 11 aren't read.
+    assert asked == [[at.format(1, 11)], [at.format(1, 12), at.format(1, 13), at.format(9, 12)], [at.format(2, 21)], [], [at.format(3, 31)], []]
+    failures = {(r.stage, r.product_id, r.error_type) for r in RunFolder(spark, folder).table("failures").collect()}
+    assert failures == {("variant", "prod1", "LookupError"), ("product", "prod2", "ParseError")}
+    state = json.loads((tmp_path / "run/checkpoint.json").read_text())
+    assert state["completed_product_ids"] == ["prod3"] and len(state["parts"]) == 3 and state["state"] == "partial" and not (tmp_path / "run/_work").exists()
+    pages |= {at.format(1, 13): named(1, "13"), at.format(2, 21): named(2, "21")}
+    asked.clear()
+    found = run_catalogue(spark, inventory, source, policy, folder, identity, lambda: "2026-01-02T00:00:00Z")
+    assert (found["status"], found["variant_count"], found["failure_attempt_count"], found["product_count"]) == ("complete", 5, 2, 3)
+    assert asked == [[at.format(1, 11), at.format(2, 21)], [at.format(1, 13)]]
+    assert sorted(r.sku_id for r in RunFolder(spark, folder).table("variants").collect()) == ["11", "12", "13", "21", "31"]
+
+
+def test_command_line_of_one_off_runs_and_live_pages(spark, tmp_path, monkeypatch):
+    from test_pages import BASE, page, product
+
+    start = "https://www.shop.example/shop/Face Lips"
+    site = {start: f'<a href="{BASE}">a</a><a href="?page=2">load more</a>', "https://www.shop.example/shop/Face Lips?page=2": f'<a href="{BASE}">a</a><a href="?page=3">load more</a>', BASE: page(product())}
+    monkeypatch.setattr(http.Client, "page", lambda self, url: (site[url].encode(), "text/html; charset=utf-8"))
+    (tmp_path / "s.toml").write_text("[scraper]\nrequest_delay_seconds = 0\n")
+    args = ["catalogue", "--settings", f"{tmp_path}/s.toml", "--collections", f"{tmp_path}/s.toml", "--host", "www.shop.example", "--url", start]
+    assert cli.main([*args, "--output", f"{tmp_path}/run"], spark) == 0
+    manifest = json.loads((tmp_path / "run/run_manifest.json").read_text())
+    assert (manifest["status"], manifest["collection"], manifest["variant_count"], manifest["source_type"]) == ("complete", "face-lips", 1, "listing") and manifest["finished_at"] >= manifest["started_at"]
+    assert cli.main([*args, "--resume-run", f"{tmp_path}/run"], spark) == 0 and cli.main([*args, "--resume-run", f"{tmp_path}/none"], spark) == 2
+    assert cli.main([*args, "--name", "other", "--resume-run", f"{tmp_path}/run"], spark) == 2 and cli.main([*args[:-2], "--name", "x", "--output", "y"], spark) == 2
+    assert cli.main([*args, "--name", "d", "--discover-only", "--output", f"{tmp_path}/d"], spark) == 0
+    assert json.loads((tmp_path / "d/run_manifest.json").read_text())["unresolved_product_count"] == 1
+    assert http.decoded("é".encode("latin-1"), "text/html; charset=latin-1") == "é"
+    with pytest.raises(UnicodeError, match="tried utf-8, ascii"):
+        http.decoded(b"\xff", "text/html; charset=ascii")
+
+
+def test_colour_command_line_resumes(spark, tmp_path):
+    folder = tmp_path / "img"
+    folder.mkdir()
+    for i in (3, 1):
+        (folder / f"s{i}.png").write_bytes(png(4, 4, lambda x, y, i=i: (i, 20, 30, 255)))
+    rows = [("p", f"k{i}", f"{MEDIA}s{i}") for i in (3, 1, 2)]
+    sinks.write_csv_file(spark.createDataFrame(rows, "product_id string, sku_id string, swatch_image_url string").coalesce(1), tmp_path / "in.csv", ["product_id", "sku_id", "swatch_image_url"])
+    args = ["colors", "--input", f"{tmp_path}/in.csv", "--images", str(folder), "--output", f"{tmp_path}/out", "--media-host", "media.shop.example", "--checkpoint-interval", "2"]
+    assert cli.main([*args, "--limit", "1"], spark) == 0
+    assert [r.sku_id for r in files.csv_rows(spark, f"{tmp_path}/out/swatch_colors.csv").collect()] == ["k3"]
+    assert cli.main(args, spark) == 1
+    found = json.loads((tmp_path / "out/color_manifest.json").read_text())
+    assert {k: found[k] for k in ("status", "input_row_count", "completed_row_count", "unresolved_row_count", "attempted_this_run", "succeeded_this_run", "failed_this_run", "failure_attempt_count")} == {
+        "status": "partial", "input_row_count": 3, "completed_row_count": 2, "unresolved_row_count": 1, "attempted_this_run": 2, "succeeded_this_run": 1, "failed_this_run": 1, "failure_attempt_count": 1,
+    }
+    (folder / "s2.png").write_bytes(png(4, 4, lambda x, y: (9, 9, 9, 255)))
+    assert cli.main(args, spark) == 0 and cli.main([*args, "--no-resume"], spark) == 2 and cli.main([*args, "--limit", "1"], spark) == 2
+    assert [(r.sku_id, r.rgb_r) for r in files.csv_rows(spark, f"{tmp_path}/out/swatch_colors.csv").collect()] == [("k3", "3"), ("k1", "1"), ("k2", "9")]
+    assert json.loads((tmp_path / "out/color_manifest.json").read_text())["failure_attempt_count"] == 1

@@ -128,10 +128,10 @@ def run_status(completed: Column, inventory: Column) -> Column:
     return F.when(completed == inventory, "complete").otherwise("partial")
 
 
-def failures_of(outcomes: DataFrame, stage: str, occurred_at: Column) -> DataFrame:
+def failures_of(outcomes: DataFrame, stage: str | Column, occurred_at: Column) -> DataFrame:
     """Rows of the attempt log from outcomes (product_id, url, error_type, message) that have an error."""
     return outcomes.where("error_type is not null").select(
-        occurred_at.alias("occurred_at"), F.lit(stage).alias("stage"), "product_id", "url", "error_type", F.left(F.col("message"), F.lit(1000)).alias("message")
+        occurred_at.alias("occurred_at"), (F.lit(stage) if isinstance(stage, str) else stage).alias("stage"), "product_id", "url", "error_type", F.left(F.col("message"), F.lit(1000)).alias("message")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tintloom.functions import color, text
 from tintloom.operators import pixels, snapshot
+from tintloom.plans import colour_map
 from tintloom.plans.colour_map import map_points
 from tintloom.plans.tables import Registry, read
 
@@ -76,11 +77,7 @@ def grey_hues(spark, sf_dir):
 @R.query(f"""{PART_LAB_SQL}, h AS (SELECT degrees(atan2(lab_b, lab_a)) AS h, lab_l FROM lab)
   SELECT floor(min(h) - 5)::BIGINT AS x_low, ceil(max(h) + 5)::BIGINT AS x_high, greatest(0, floor(min(lab_l) - 4))::BIGINT AS y_low, least(100, ceil(max(lab_l) + 4))::BIGINT AS y_high FROM h""")
 def axis_ranges(spark, sf_dir):
-    h, light = F.col("hue_angle"), F.col("lab_l")
-    return pixels.placed(part_colors(spark, sf_dir)).agg(
-        F.floor(F.min(h) - 5).alias("x_low"), F.ceil(F.max(h) + 5).alias("x_high"),
-        F.greatest(F.lit(0), F.floor(F.min(light) - 4)).alias("y_low"), F.least(F.lit(100), F.ceil(F.max(light) + 4)).alias("y_high"),
-    )
+    return pixels.placed(part_colors(spark, sf_dir)).agg(*colour_map.axis_ranges(F.col("hue_angle"), F.col("lab_l")))
 
 
 PIXELS_SQL = "SELECT l_orderkey AS k, (l_partkey * 7 % 256)::INT AS r, (240 + l_suppkey % 16)::INT AS g, (250 - l_linenumber)::INT AS b, (l_quantity * 5)::INT AS a FROM lineitem"
@@ -175,6 +172,11 @@ def color_map(spark, sf_dir):
     return map_points(cleaned_parts(spark, sf_dir), colors)
 
 
-@R.query("""SELECT 'sku' || p_partkey AS sku_id, [CASE WHEN p_partkey % 11 > 0 THEN p_brand ELSE 'Unknown brand' END, p_name, CASE WHEN p_partkey % 13 > 0 THEN p_type ELSE 'Unnamed shade' END]::VARCHAR[] AS payload FROM part""")
+def _payload_sql() -> str:
+    return f"""SELECT sku_id, [brand, product_name, shade, price, size, unit_price, variant_url, variant_image_url, swatch_image_url, sku_id,
+      chroma::VARCHAR, lab_a::VARCHAR, lab_b::VARCHAR]::VARCHAR[] AS payload FROM ({R.oracles["color_map"]})"""
+
+
+@R.query(_payload_sql())
 def hover_payload(spark, sf_dir):
-    return color_map(spark, sf_dir).select("sku_id", F.array("brand", "product_name", "shade").alias("payload"))
+    return colour_map.payload(color_map(spark, sf_dir))

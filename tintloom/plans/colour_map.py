@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tintloom.functions import text
@@ -35,36 +35,96 @@ def map_points(variants: DataFrame, colors: DataFrame) -> DataFrame:
     )
 
 
+#: What the page shows of a point, in this order.
+SLOTS = ("brand", "product_name", "shade", "price", "size", "unit_price", "variant_url", "variant_image_url", "swatch_image_url", "sku_id", "chroma", "lab_a", "lab_b")
+
+
+def payload(points: DataFrame) -> DataFrame:
+    """(sku_id, payload): the slots of every point, numbers as JSON writes them."""
+    return points.select("sku_id", F.array(*[F.to_json(F.array(F.col(c))) if c in ("chroma", "lab_a", "lab_b") else F.col(c) for c in SLOTS]).alias("payload")).withColumn(
+        "payload", F.transform("payload", lambda x, i: F.when(i >= 10, F.regexp_replace(x, r"[\[\]]", "")).otherwise(x))
+    )
+
+
+def axis_ranges(hue: Column, lightness: Column) -> list[Column]:
+    """Aggregates x_low, x_high, y_low, y_high: whole numbers around all points, lightness within 0 and 100."""
+    return [
+        F.floor(F.min(hue) - 5).alias("x_low"), F.ceil(F.max(hue) + 5).alias("x_high"),
+        F.greatest(F.lit(0), F.floor(F.min(lightness) - 4)).alias("y_low"), F.least(F.lit(100), F.ceil(F.max(lightness) + 4)).alias("y_high"),
+    ]
+
+
 PAGE = """<!DOCTYPE html>
-<html lang="en"><head><meta charset="utf-8"><title>{title}</title>
-<style>body{{font-family:sans-serif;margin:1.5em}}#map{{width:100%;height:700px;border:1px solid #ddd}}#pin{{min-height:6em}}.dot{{cursor:pointer}}</style></head>
-<body><h1>{title}</h1><p>{count} shades by hue and lightness.</p><svg id="map" viewBox="{x0} 0 {width} {height}" preserveAspectRatio="none"></svg><div id="pin">Click a shade to pin its details.</div>
+<html lang="en"><head><meta charset="utf-8"><meta name="viewport" content="width=device-width, initial-scale=1"><title>{title}</title>
+<style>body{{font-family:sans-serif;margin:1.5em}}.board{{display:flex;gap:1em;flex-wrap:wrap}}#map{{flex:3 1 40em;height:700px;border:1px solid #ddd;touch-action:none}}
+#pin{{flex:1 1 16em;border:1px solid #ddd;padding:1em}}#pin img{{max-width:10em;display:block;margin-bottom:.5em}}.dot{{cursor:pointer}}text{{font-size:12px}}</style></head>
+<body><h1>{title}</h1><p>{count} shades by hue and lightness. Drag to move, turn the wheel to zoom, click to pin.</p>
+<div class="board"><svg id="map" viewBox="0 0 1000 700"></svg><section id="pin" aria-live="polite">Click a shade to pin its details.</section></div>
 <script>
-const points = {points};
-const svg = document.getElementById("map"), pin = document.getElementById("pin"), ns = "http://www.w3.org/2000/svg";
+const points = {points}, area = {area};
+const slots = {slots};
+const svg = document.getElementById("map"), pin = document.getElementById("pin"), space = "http://www.w3.org/2000/svg";
+const make = (name, values, parent) => {{
+  const e = document.createElementNS(space, name);
+  for (const [k, v] of Object.entries(values)) e.setAttribute(k, v);
+  parent.append(e);
+  return e;
+}};
+const px = x => 60 + (x - area.x_low) / (area.x_high - area.x_low) * 920, py = y => 650 - (y - area.y_low) / (area.y_high - area.y_low) * 630;
+const board = make("g", {{}}, svg);
+for (let k = 0; k <= 8; k++) {{
+  const x = area.x_low + k / 8 * (area.x_high - area.x_low), y = area.y_low + k / 8 * (area.y_high - area.y_low);
+  make("line", {{x1: px(x), x2: px(x), y1: 20, y2: 650, stroke: "#eee"}}, board);
+  make("line", {{x1: 60, x2: 980, y1: py(y), y2: py(y), stroke: "#eee"}}, board);
+  make("text", {{x: px(x) - 10, y: 668}}, board).textContent = x.toFixed(0);
+  make("text", {{x: 25, y: py(y) + 4}}, board).textContent = y.toFixed(0);
+}}
+make("text", {{x: 450, y: 692}}, board).textContent = "hue in degrees";
+make("text", {{x: 8, y: 14}}, board).textContent = "lightness";
+const picture = (url, words) => {{
+  if (!/^https?:/.test(url)) return;
+  const image = document.createElement("img");
+  image.src = url;
+  image.alt = words;
+  pin.append(image);
+}};
+const show = (p, d) => {{
+  pin.replaceChildren();
+  picture(d.variant_image_url, d.product_name);
+  picture(d.swatch_image_url, d.shade);
+  for (const line of [d.brand, d.product_name, d.shade, d.price, d.size, d.unit_price, `${{p[2]}}, hue ${{p[0].toFixed(1)}}, lightness ${{p[1].toFixed(1)}}, chroma ${{Number(d.chroma).toFixed(1)}}`, `SKU ${{d.sku_id}}`]) {{
+    const row = document.createElement("div");
+    row.textContent = line;
+    pin.append(row);
+  }}
+  if (d.variant_url.startsWith("https://")) {{
+    const link = document.createElement("a");
+    link.href = d.variant_url;
+    link.rel = "noopener";
+    link.textContent = "Open the product";
+    pin.append(link);
+  }}
+}};
 for (const p of points) {{
-  const dot = document.createElementNS(ns, "circle");
-  for (const [k, v] of Object.entries({{cx: p.x, cy: {top} - p.y, r: 0.6, fill: p.hex_color, class: "dot"}})) dot.setAttribute(k, v);
-  const tip = document.createElementNS(ns, "title");
-  tip.textContent = [p.brand, p.product_name, p.shade, p.price, p.size, p.unit_price].join("\\n");
-  dot.append(tip);
-  dot.addEventListener("click", () => {{
-    pin.textContent = `${{p.brand}} · ${{p.product_name}} · ${{p.shade}} · ${{p.price}} · ${{p.size}} · ${{p.unit_price}} · ${{p.hex_color}}`;
-    if (p.variant_url.startsWith("https://")) {{ const a = document.createElement("a"); a.href = p.variant_url; a.textContent = " open"; pin.append(a); }}
-  }});
-  svg.append(dot);
+  const d = Object.fromEntries(slots.map((s, i) => [s, p[3][i]]));
+  const dot = make("circle", {{cx: px(p[0]), cy: py(p[1]), r: 5, fill: p[2], "fill-opacity": 0.8, stroke: "#2226", class: "dot"}}, board);
+  make("title", {{}}, dot).textContent = [d.brand, d.product_name, d.shade, d.price, d.size, d.unit_price].join("\\n");
+  dot.addEventListener("click", () => show(p, d));
 }}
+const view = {{x: 0, y: 0, k: 1}};
+const place = () => board.setAttribute("transform", `translate(${{view.x}} ${{view.y}}) scale(${{view.k}})`);
+svg.addEventListener("wheel", e => {{ e.preventDefault(); view.k = Math.min(40, Math.max(1, view.k * (e.deltaY < 0 ? 1.2 : 1 / 1.2))); place(); }}, {{passive: false}});
+svg.addEventListener("pointermove", e => {{ if (e.buttons) {{ view.x += e.movementX; view.y += e.movementY; place(); }} }});
 </script></body></html>
 """
 
 
-def map_page(points: DataFrame, title: str = "Colour map", most: int = 200_000) -> str:
-    """The page for points of `map_points`; it holds every point, so there may be at most `most`."""
-    rows = [r.asDict() for r in points.limit(most + 1).collect()]
-    if len(rows) > most:
-        raise ValueError(f"a page can't show more than {most} points")
-    xs, ys = [r["x"] for r in rows] or [0.0], [r["y"] for r in rows] or [0.0]
-    low, high = int(min(xs) - 5), int(max(xs) + 6)
-    bottom, top = max(0, int(min(ys) - 4)), min(100, int(max(ys) + 5))
-    data = json.dumps(rows, ensure_ascii=False).replace("</", "<\\/")
-    return PAGE.format(title=html.escape(title), count=f"{len(rows):,}", points=data, x0=low, width=high - low, height=top - bottom, top=top)
+def map_page(points: DataFrame, title: str = "Colour map") -> str:
+    """The page for points of `map_points`, whole in itself; an error without points."""
+    rows = [r.asDict() for r in points.toLocalIterator()]
+    if not rows:
+        raise ValueError("there are no points to show")
+    area = points.agg(*axis_ranges(F.col("x"), F.col("y"))).first().asDict()
+    shown = [[r["x"], r["y"], r["hex_color"], [r[s] for s in SLOTS]] for r in rows]
+    data = json.dumps(shown, ensure_ascii=False).replace("</", "<\\/")
+    return PAGE.format(title=html.escape(title), count=f"{len(rows):,}", points=data, area=json.dumps(area), slots=json.dumps(SLOTS))

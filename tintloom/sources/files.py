@@ -39,8 +39,11 @@ def json_document(spark: SparkSession, path: str) -> dict[str, Any]:
     return json.loads(spark.read.text(path, wholetext=True).first()[0]) if exists(spark, path) else {}
 
 
-def swatch_input(frame: DataFrame, policy: urls.HostPolicy) -> DataFrame:
-    """The first row of each SKU: sku_id and swatch_image_url trimmed; raises for empty ones, other hosts, and a SKU with two URLs."""
+def swatch_input(frame: DataFrame, policy: urls.HostPolicy, place: str | None = None) -> DataFrame:
+    """The first row of each SKU: sku_id and swatch_image_url trimmed; raises for empty ones, other hosts, and a SKU with two URLs.
+
+    A column `place`, if named, tells the order of the rows. Places follow the rows of a file that one task reads, as CSV files with line breaks in cells are.
+    """
     snapshot.require_columns(frame, ("sku_id", "swatch_image_url"), "swatch input")
     rows = frame.withColumns({"sku_id": text.strip(F.col("sku_id")), "swatch_image_url": text.strip(F.col("swatch_image_url")), "__ord": F.monotonically_increasing_id()})
     empty = (F.coalesce("sku_id", F.lit("")) == "") | (F.coalesce("swatch_image_url", F.lit("")) == "")
@@ -51,7 +54,8 @@ def swatch_input(frame: DataFrame, policy: urls.HostPolicy) -> DataFrame:
         raise snapshot.ContractError(f"{audit['host']} swatch URLs aren't https addresses of {policy.media_host}")
     if conflict := snapshot.key_conflicts(rows, "sku_id", "swatch_image_url").first():
         raise snapshot.ContractError(f"SKU {conflict['sku_id']} has {conflict['n_values']} URLs")
-    return snapshot.keep_first(rows, ["sku_id"], ["__ord"]).drop("__ord")
+    first = snapshot.keep_first(rows, ["sku_id"], ["__ord"])
+    return first.withColumnRenamed("__ord", place) if place else first.drop("__ord")
 
 
 def product_list(spark: SparkSession, addresses: Sequence[str], policy: urls.HostPolicy) -> DataFrame:
@@ -87,8 +91,3 @@ def decoded_html(content: Column, charset: Column, apparent: Column | None = Non
     utf8 = F.try_validate_utf8(content.cast("string"))
     rest = F.when(utf8.isNull(), content)
     return text.nfc(F.coalesce(utf8, _decoded(rest, charset, apparent if apparent is not None else F.lit(None).cast("string"))))
-
-
-def fetched(addresses: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
-    """Pages of a crawl by their addresses: a lookup join; an address without a page has null html."""
-    return addresses.join(pages.select(F.col("url").alias(key), "html").dropDuplicates([key]), key, "left")
