@@ -9,6 +9,7 @@ from pathlib import Path
 from typing import Any
 from urllib.parse import urlsplit
 
+# Names of the settings with their defaults, the pattern of a name, kinds of sources and where their paths begin.
 NAME = re.compile(r"[a-z0-9][a-z0-9_-]*")
 KINDS = ("auto", "listing", "product")
 

@@ -63,11 +63,10 @@ def first_group(text: Column, pattern: str) -> Column:
 
 def prices(pricing: Column, offer: Column) -> Column:
     """(list_price, sale_price): the regular or else the offered price beside a sale price, or the offered one alone."""
-    sale, regular, offered = first_group(pricing, SALE), first_group(pricing, REGULAR), number(offer)
-    return F.struct(
-        F.when(sale.isNotNull(), F.coalesce(number(regular), offered)).otherwise(offered).alias("list_price"),
-        number(sale).alias("sale_price"),
-    )
+    # An amount is digits by its pattern, so a cast is enough.
+    sale, regular = (first_group(pricing, p).try_cast("double") for p in (SALE, REGULAR))
+    offered = number(offer)
+    return F.struct(F.when(sale.isNotNull(), F.coalesce(regular, offered)).otherwise(offered).alias("list_price"), sale.alias("sale_price"))
 
 
 def rating(value: Column, reviews: Column) -> Column:

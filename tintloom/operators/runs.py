@@ -115,14 +115,14 @@ def tables_of(rows: DataFrame, occurred_at: Column) -> dict[str, DataFrame]:
     return {"products": table("product", "product_id"), "variants": table("variant", "sku_id"), "ingredients": table("ingredient", "ingredient_set_id"), "failures": failures, "completed": completed}
 
 
-def catalogue_tables(inventory: DataFrame, pages: DataFrame, policy: HostPolicy, occurred_at: Column, saved: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def catalogue_tables(inventory: DataFrame, pages: DataFrame, policy: HostPolicy, occurred_at: Column, saved: dict[str, DataFrame] | None = None, store: Store = lambda f, _: f) -> dict[str, DataFrame]:
     """products, variants, ingredients, failures and completed of the inventory's products, from pages (url, html).
 
     With the tables of a run before, its completed products aren't tried again, its rows stay, and failures are
     added to its log.
     """
     todo = inventory if saved is None else todo_of(inventory, saved["completed"])
-    found = tables_of(attempts(todo, stored_pages(pages), policy, saved and saved["variants"]), occurred_at)
+    found = tables_of(store(attempts(todo, stored_pages(pages), policy, saved and saved["variants"], store), "attempts"), occurred_at)
     return found if saved is None else {name: merged(name, saved[name], frame) for name, frame in found.items()}
 
 

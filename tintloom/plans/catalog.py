@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tintloom.plans import color_queries, page_queries, snapshot_queries, text_queries, url_queries
+from tintloom.plans import color_queries, page_queries, run_queries, snapshot_queries, text_queries, url_queries
 
-_REGISTRIES = [m.R for m in (color_queries, page_queries, snapshot_queries, text_queries, url_queries)]
+_REGISTRIES = [m.R for m in (color_queries, page_queries, run_queries, snapshot_queries, text_queries, url_queries)]
 QUERIES = {name: f for r in _REGISTRIES for name, f in r.queries.items()}
 ORACLES = {name: sql for r in _REGISTRIES for name, sql in r.oracles.items()}

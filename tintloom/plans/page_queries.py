@@ -31,7 +31,8 @@ def part_pages(spark, sf_dir):
         F.lit('</div><p class="ProductDimension">Size: <b>'), F.col("p_size"), F.lit(' oz</b></p><div class="ProductSwatches ProductSwatches--content"><legend>Shade</legend><a href="/p/y-prod1?sku='), k + 1, F.lit('"><img src="/s/1.png" alt="b"></a></div>'),
         F.lit("<section><h3>Ingredients:</h3><p>"), F.col("p_type"), F.lit("&amp;water</p></section></main><a href='/p/z-vp"), k, F.lit("'>z</a><a href='?page=2'><b>Load</b> more</a></body></html>"),
     )
-    return read(spark, sf_dir, "part").select(k.alias("page_id"), F.concat(F.lit("https://www.shop.example/p/a-prod"), k, F.lit("?sku="), k, F.lit("&x=1")).alias("url"), html.alias("html"))
+    # Dealt while rows are small: a part becomes a page that takes long to read.
+    return read(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism).select(k.alias("page_id"), F.concat(F.lit("https://www.shop.example/p/a-prod"), k, F.lit("?sku="), k, F.lit("&x=1")).alias("url"), html.alias("html"))
 
 
 @R.query(r"""SELECT 'https://www.shop.example/p/a-prod' || p_partkey || '?sku=' || p_partkey || '&x=1' AS url, 'prod' || p_partkey AS product_id, p_partkey::VARCHAR AS sku_id, p_brand AS brand,
@@ -66,7 +67,22 @@ def css_select(spark, sf_dir):
     return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.count_distinct("x.href").alias("n_distinct"))
 
 
-@R.query("SELECT 'https://www.shop.example/p/a-prod' || p_partkey || '?sku=' || p_partkey || '&x=1' AS url, 'sku not found' AS error FROM part WHERE FALSE")
+BROKEN = (
+    ("product data not found", "ParseError"), ("product data not found", "ParseError"), ("product id not found", "ParseError"), ("product id not found", "ParseError"), ("sku not found", "ParseError"),
+    ("variant url is of another host", "ValueError"),
+)
+
+
+@R.query(f"""SELECT p_partkey, {[m for m, _ in BROKEN]}[(p_partkey % 7 + 1)::INT] AS error, {[t for _, t in BROKEN]}[(p_partkey % 7 + 1)::INT] AS error_type FROM part WHERE p_partkey % 7 < 6""")
 def page_failures(spark, sf_dir):
-    found = P.product_rows(P.raw_pages(part_pages(spark, sf_dir)), POLICY)
-    return found.where("error is not null").select("url", "error")
+    """Pages without data, with data of another type, without an id or with a blank one, without a SKU, and with an offer elsewhere; every seventh is whole."""
+    k = F.col("p_partkey")
+    bodies = (
+        "<p>no data</p>", '{"@type":["Product"],"productID":"x"}', '{"@type":"Product","sku":"1"}', '{"@type":"Product","productID":" ","sku":"1"}', '{"@type":"Product","productID":"x","sku":""}',
+        '{"@type":"Product","productID":"x","sku":"1","offers":{"url":"https://else.example/p/x"}}', '{"@type":"Product","productID":"x","sku":"1"}',
+    )
+    body = F.element_at(F.array(*[F.lit(b if b.startswith("<") else f'<script type="application/ld+json">{b}</script>') for b in bodies]), (k % 7 + 1).cast("int"))
+    token = F.when(k % 7 == 3, F.lit("prod1?sku=1")).otherwise("thing")
+    pages = read(spark, sf_dir, "part").select(k, F.concat(F.lit("https://www.shop.example/p/"), k, F.lit("-"), token).alias("url"), body.alias("html"))
+    found = P.product_rows(P.raw_pages(pages, parts="product"), POLICY).where("error is not null")
+    return pages.select("p_partkey", "url").join(found, "url").select("p_partkey", "error", "error_type")
