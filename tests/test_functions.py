@@ -53,6 +53,7 @@ def test_labels_and_types(spark):
     assert one(spark, text.price_text(F.lit("x"))) == "Not available"
     assert one(spark, text.price_text(F.lit("1234.5"))) == "$1,234.50"
     assert one(spark, text.size_label(F.lit(None).cast("double"), F.lit(" "))) == "Not available"
+    assert one(spark, text.size_label(F.lit("1 "), F.lit(" g"))) == "1 g"
 
 
 def test_required_number_names_the_row(spark):
@@ -73,7 +74,8 @@ def test_normalized(spark, url, expected):
 
 def test_tokens_and_names(spark):
     assert one(spark, urls.product_token(F.lit("https://x.example/p/a-xlsImpprod12-prod3?sku=prod9"))) == "xlsImpprod12"
-    assert one(spark, urls.collection_name(F.lit("https://x.example/shop/Face & Lips/"))) == "face_lips"
+    assert one(spark, urls.collection_name(F.lit("https://x.example/shop/Face & Lips/"))) == "face-lips"
+    assert one(spark, urls.collection_name(F.lit("https://x.example/shop/_face-lips_2;v=1"))) == "face-lips_2"
     assert one(spark, urls.with_variant(F.lit("https://x.example/p"), F.lit("5"), POLICY)) == "https://x.example/p?sku=5"
     assert one(spark, urls.is_swatch_url(F.lit("http://media.shop.example/a"), POLICY)) is False
 
