@@ -105,9 +105,16 @@ def runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, doc_id long, part long, place long")
 
 
-def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """(text, doc_id, part, runs) of the texts that have any of `runs` (bucket, doc_id, part, place)."""
-    by_text = runs.groupBy("doc_id", "part").agg(F.collect_list(F.struct("bucket", "place")).alias("runs"))
+def _by_text(runs: DataFrame) -> DataFrame:
+    """(doc_id, part, runs) of runs (bucket, doc_id, part, place)."""
+    return runs.groupBy("doc_id", "part").agg(F.collect_list(F.struct("bucket", "place")).alias("runs"))
+
+
+def _with_runs(docs: DataFrame, by_text: DataFrame) -> DataFrame:
+    """(text, doc_id, part, runs) of the texts that have any runs.
+
+    Of stored runs the size is known, so that Spark moves the texts only where the runs are too many to send.
+    """
     return docs.join(by_text, ["doc_id", "part"])
 
 
@@ -313,7 +320,7 @@ def first_digests(texts: DataFrame, length: int, gram: int) -> DataFrame:
     found = stored(runs.join(again, "bucket", "left_semi"), "runs")
     discard(again)
     release(spark)
-    digests = stored(context_digests(_with_runs(texts, found), length), "digests")
+    digests = stored(context_digests(_with_runs(texts, _by_text(found)), length), "digests")
     discard(found)
     release(spark)
     return digests
@@ -334,13 +341,16 @@ def repeated_parts(texts: DataFrame, length: int, grams: tuple[int, ...]) -> lis
         firsts = stored(contexts.select("bucket", "first.doc_id", "first.part", "first.place").join(several, "bucket"), "firsts")
         discard(contexts, several)
         small = firsts.where(F.col("contexts") <= (MANY_CONTEXTS if finer else 1 << 62)).drop("contexts")
-        parts.append(stored(repeated_spans(context_bytes(_with_runs(texts, small), length), length), "partly"))
+        sorted_ = stored(_by_text(small), "sorted")
+        parts.append(stored(repeated_spans(context_bytes(_with_runs(texts, sorted_), length), length), "partly"))
         large = firsts.where(F.col("contexts") > MANY_CONTEXTS).drop("contexts")
+        discard(sorted_)
         if finer is None or large.isEmpty():
             discard(firsts)
             break
-        digests = stored(finer_digests(_with_runs(texts, large), length, finer), "digests")
-        discard(firsts)
+        anew = stored(_by_text(large), "anew")
+        digests = stored(finer_digests(_with_runs(texts, anew), length, finer), "digests")
+        discard(firsts, anew)
         release(spark)
     release(spark)
     return parts
