@@ -144,14 +144,29 @@ class Reader:
         return ids, context, words.first, h
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x) scaled (x is too), with the sum of each row; by one number for all rows, where none gets lost by it."""
+    ones = np.ones(x.shape[1], x.dtype)
+    x -= x.max(initial=-np.inf)
+    e = np.exp(x)
+    total = e @ ones
+    if len(total) and total.min() < 1e-30:
+        x -= x.max(axis=1, keepdims=True)
+        e = np.exp(x)
+        total = e @ ones
+    return e, total
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The entries `at` of the rows' logarithms of softmax; changes x."""
+    _, total = _exponentials(x)
+    return x[np.arange(len(x)), at] - np.log(total)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    e, total = _exponentials(x)
+    e /= total[:, None]
+    return e
 
 
 def _hidden(net: Network, context: np.ndarray) -> np.ndarray:
@@ -168,12 +183,12 @@ def log_probabilities(net: Network, ids: np.ndarray, context: np.ndarray) -> np.
         part = ids[a : a + BLOCK]
         group, place = part // PER_CLASS, part % PER_CLASS
         hidden = _hidden(net, context[:, a : a + BLOCK])
-        score = _log_softmax(hidden @ net.to_class + net.class_bias)[np.arange(len(part)), group]
+        score = _log_softmax_at(hidden @ net.to_class + net.class_bias, group)
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cuts)).tolist():
             at = order[cuts[c] : cuts[c + 1]]
-            score[at] += _log_softmax(hidden[at] @ net.to_word[c] + net.word_bias[c])[np.arange(len(at)), place[at]]
+            score[at] += _log_softmax_at(hidden[at] @ net.to_word[c] + net.word_bias[c], place[at])
         out[a : a + BLOCK] = score
     return out
 
