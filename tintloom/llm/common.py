@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word of the contracts that split on ASCII white space, as a pattern of Java and RE2.
@@ -91,6 +91,17 @@ def discard_since(kept: DataFrame, mark: int) -> None:
             _delete(kept.sparkSession, path)
 
 
+def numbered(frame: DataFrame, order: list[str], ties: list[str], name: str) -> DataFrame:
+    """A stored frame with the place 0, 1, ... of each row in the order of `order` and then `ties`; rows are dealt by ranges of `order`."""
+    count = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = frame.repartitionByRange(count, *order).sortWithinPartitions(*order, *ties)
+    placed = dealt.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    return placed.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of frames that are out of use."""
     import gc

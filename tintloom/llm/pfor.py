@@ -222,6 +222,10 @@ def pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return found.dictionary.to_pylist(), found.indices.to_numpy(), np.diff(np.searchsorted(places, edges))
 
 
+#: Texts that a tokenizer must encode a piece at a time as it does whole.
+PROBES = ("Hello World's re-use, 12.5% of it.", " two  blanks\n\nand\tlines ", "don't STOP! <|endoftext|> (x) [y] a_b", "\u00c9t\u00e9 \u0130 na\u00efve \u4f60\u597d \U0001f600 e\u0301")
+
+
 class Encoder:
     """Encodes with the tokenizer a piece at a time and remembers pieces.
 
@@ -236,6 +240,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        for probe in PROBES:
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            words, which, _ = pieces([probe.encode()])
+            parts = [self.tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in words]
+            if whole != [i for k in which.tolist() for i in parts[k]]:
+                raise ValueError(f"{path}: this tokenizer joins what white space parts, so it can't encode a piece at a time")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
@@ -304,7 +314,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
     """Writes `docs` (doc_id, text) in ascending doc_id order; returns the stored table of the files.
 
     (shard, path, n_docs, n_ids, start): a row for each file, start being the ids in the files before it. Null
-    ids come first, rows of equal id are ordered by text. A null text is empty and has the end id alone.
+    ids come first; rows of equal id are ordered by text, and files divide them where the texts' beginnings
+    differ, so that an id that very many rows share needn't fit into one. A null text is empty and has the end id alone.
     Each attempt of a task writes a file of its own name and moves it into place when whole, and the table
     names only the files of the attempts that count, so a lost executor leaves nothing but an unused file.
     """
@@ -334,7 +345,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
             store.move(f"{base}/.{name}", f"{base}/{name}")
             yield pa.RecordBatch.from_pydict({"first_doc": pa.array([first], pa.int64()), "n_docs": [n_docs], "n_ids": [writer.n_ids], "path": [f"{folder}/{name}"], "shard": [shard]})
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    by_id = F.col("doc_id").asc_nulls_first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.substring("text", 1, 64).alias("__begin"))
+    dealt = rows.repartitionByRange(shards, by_id, "__begin").sortWithinPartitions(by_id, "text").select("doc_id", "text")
     files = stored(dealt.mapInArrow(run, SHARD), "shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return files.select("shard", "path", "n_docs", "n_ids", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("start"))

@@ -131,7 +131,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELL
 
     found = rows.mapInArrow(run, "doc_id long, quality int, at binary, share binary").toArrow()
     picked = {}
-    for doc, quality, at, share in zip(*[c.to_pylist() for c in found.columns], strict=True):
+    # Of several texts of one document the one whose features sort first teaches, whatever order they arrive in.
+    for doc, quality, at, share in sorted(zip(*[c.to_pylist() for c in found.columns], strict=True), key=lambda r: (r[0], r[2], r[3])):
         picked.setdefault(doc, ((doc * 0x9E3779B97F4A7C15 >> 62) & 3, quality, np.frombuffer(at, np.int32), np.frombuffer(share, np.float32)))
     return [picked[d] for d in sorted(picked)]
 

@@ -28,11 +28,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tintloom.llm.common import discard, release, slices, small_batches, stored, utf8
+from tintloom.llm.common import discard, numbered, release, slices, small_batches, stored, utf8
 from tintloom.llm.scan import mix64, powers, prefix_hashes
 
 LENGTH, GRAMS = 100, (32, 80)
@@ -82,12 +82,16 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, part, text): null ids as the smallest number; rows that share an id get parts 0, 1, ... by text."""
+    """(doc_id, part, text): null ids as the smallest number; rows that share an id get rising parts in the order of their texts.
+
+    Parts are numbers of one range sort, so that an id that very many rows share isn't numbered in one task.
+    """
     known = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
     twice = stored(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if twice.isEmpty():
         return known.select("doc_id", F.lit(0).cast("long").alias("part"), "text")
-    several = known.join(twice, "doc_id", "left_semi").withColumn("part", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")).cast("long") - 1)
+    several = stored(known.join(twice, "doc_id", "left_semi").withColumn("start", F.substring("text", 1, 200)), "repeated-texts")
+    several = numbered(several, ["doc_id", "start"], ["text"], "part").drop("start")
     return known.join(twice, "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("part"), "text").unionByName(stored(several, "repeated-rows"))
 
 
