@@ -61,6 +61,22 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.limit(0), queries.URL_RULES, listed.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [url_filter.MAX_RULES, 3])
+def test_url_rules_of_any_number(spark, monkeypatch, most):
+    monkeypatch.setattr(url_filter, "MAX_RULES", most)
+    rng = random.Random(2)
+    hosts = ["", "com", "a.com", "b.a.com", "x.org", "org", "a..com", "com."]
+    rules = [url_filter.Rule(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(["/", "/a", "/ab", "/abc/", "", "/é"])) for _ in range(60)]
+    urls = [f"https://{rng.choice(hosts)}{rng.choice(['/', '/a', '/abc/d', '', '/é?q', '/' + 'a' * 9000])}" for _ in range(80)] + [None, "x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({c: F.lit("mine") for c in ("__canonical", "__listed", "canonical", "__host", "rule")})
+    rows = url_filter.filter_urls(pages, rules, spark.createDataFrame([], "canonical string")).collect()
+    assert len(rows) == len(urls) and all(r["__canonical"] == r["__listed"] == r["canonical"] == r["__host"] == "mine" for r in rows)
+    for r in rows:
+        fits = [(len(x.host + x.path), i, x) for i, x in enumerate(rules) if (r.host == x.host or r.host.endswith("." + x.host)) and r.path.startswith(x.path)]
+        best = max(fits)[2] if fits else None
+        assert (r.rule, r.verdict) == ((best.host + best.path, best.verdict) if best else (None, "allow"))
+
+
 def test_bloom_filter_passes_every_listed_url(spark):
     listed = spark.range(5000).select(F.concat(F.lit("h/"), F.col("id")).alias("canonical"))
     others = spark.range(5000, 10000).select(F.concat(F.lit("h/"), F.col("id")).alias("canonical"))

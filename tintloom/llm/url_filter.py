@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tintloom.llm.common import ascii_lower, stored
 
-#: Bits of the filter for each listed URL, and the most rules that one expression may hold.
+#: Bits of the filter for each listed URL, and the most rules in one expression; more are joined as a table.
 BITS_PER_KEY, MAX_RULES = 16, 500
 
 
@@ -39,9 +39,7 @@ def url_path(url: Column) -> Column:
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
-    """The longest rule that fits, as text, and its verdict; null where none fits."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules; longer lists belong into the listed URLs")
+    """The longest rule that fits, as text, and its verdict; null where none fits. Of equally long ones the last given wins."""
     text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule in sorted(rules, key=lambda r: len(r.host + r.path)):
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
@@ -50,6 +48,24 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return text, verdict
 
 
+def with_rules(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """`pages` (host, path, ...) with the rule and verdict of `rule_of`, for any number of rules.
+
+    Every distinct host meets the rules of its domains once; a row then looks for the longest path among those.
+    """
+    spark = pages.sparkSession
+    table = spark.createDataFrame([(*r, i) for i, r in enumerate(rules)], "verdict string, domain string, start string, at int")
+    hosts = pages.select("host").distinct()
+    # A host's own name and what follows each of its dots.
+    labels = F.split("host", r"\.", -1)
+    domains = hosts.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("domain"))
+    text = F.concat("domain", "start")
+    of_host = domains.join(table, "domain").groupBy(F.col("host").alias("__host")).agg(F.collect_list(F.struct(F.length(text).alias("n"), "at", "start", text.alias("rule"), "verdict")).alias("__rules"))
+    best = F.array_max(F.filter("__rules", lambda r: F.startswith(F.col("path"), r["start"])))
+    joined = pages.join(of_host, F.col("host") == F.col("__host"), "left").withColumn("__best", best)
+    return joined.select(*pages.columns, F.col("__best.rule").alias("rule"), F.col("__best.verdict").alias("verdict"))
+
+
 def _block_and_masks(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     """The block of a key and the bits it sets in each of the block's four longs: eight bits, one in each 32."""
     block = F.pmod(F.xxhash64(key), F.lit(blocks))
@@ -92,16 +108,21 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, url:
     A rule fits its host and all subdomains if the path starts with the rule's path; the longest wins. Where
     none fits, a URL is blocked if `listed` (column `canonical`: host and path) has it, else allowed. A null
     URL or one without `://` has empty host and path, no rule, and is allowed unless '' is listed. Repeated
-    rows keep their number. An empty list blocks nothing. Columns of `pages` named host, path, rule or
-    verdict are replaced.
+    rows keep their number. An empty list blocks nothing. Of equally long rules the last given wins. Columns of
+    `pages` named host, path, rule or verdict are replaced; others may have any name.
     """
-    kept = [c for c in pages.columns if c not in {"host", "path", "rule", "verdict"}]
-    host, path = url_host(F.col(url)), url_path(F.col(url))
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    judged = pages.select(*kept, host.alias("host"), path.alias("path")).select("*", rule.alias("rule"), verdict.alias("verdict"))
+    others = [c for c in pages.columns if c not in {"host", "path", "rule", "verdict"}]
+    kept = ["__kept"]
+    named = pages.select(F.struct(*others).alias("__kept") if others else F.lit(None).alias("__kept"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    if len(rules) > MAX_RULES:
+        judged = with_rules(named, rules)
+    else:
+        rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+        judged = named.select("*", rule.alias("rule"), verdict.alias("verdict"))
     known = judged.where("verdict is not null")
     open_ = judged.where("verdict is null").withColumn("__canonical", F.concat("host", "path"))
     hits = stored(listed_urls(open_.select(F.col("__canonical").alias("canonical")), listed), "hits")
     marked = open_.join(hits.select(F.col("canonical").alias("__canonical"), F.lit("block").alias("__listed")), "__canonical", "left")
     rest = marked.select(*kept, "host", "path", "rule", F.coalesce("__listed", F.lit("allow")).alias("verdict"))
-    return known.select(*kept, "host", "path", "rule", "verdict").unionByName(rest)
+    both = known.select(*kept, "host", "path", "rule", "verdict").unionByName(rest)
+    return both.select(*[F.col("__kept")[c].alias(c) for c in others], "host", "path", "rule", "verdict")
