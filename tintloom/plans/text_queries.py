@@ -103,3 +103,11 @@ def placeholders(spark, sf_dir):
 @R.query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS moment, strftime(ts, '%Y%m%dT%H%M%SZ') AS run_id FROM events")
 def iso_moments(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", text.iso_utc(F.col("ts")).alias("moment"), text.run_id(F.col("ts")).alias("run_id"))
+
+
+@R.query("SELECT p_partkey, nullif(trim(CASE WHEN p_partkey % 5 > 0 THEN p_name || ' ' ELSE '' END || CASE WHEN p_partkey % 3 > 0 THEN p_type ELSE '' END), '') AS text FROM part")
+def element_text(spark, sf_dir):
+    """Text nodes of an element as one text: stripped, empty ones dropped, a blank between."""
+    k = F.col("p_partkey")
+    pieces = F.array(F.lit(" \n"), F.when(k % 5 > 0, F.concat(F.lit("\t"), "p_name", F.lit("  "))).otherwise(""), F.lit(""), F.when(k % 3 > 0, F.concat("p_type", F.lit("\n"))).otherwise("\u00a0"))
+    return read(spark, sf_dir, "part").select(k, text.squeezed(pieces).alias("text"))
