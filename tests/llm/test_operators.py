@@ -401,6 +401,23 @@ def test_language_model_tells_words_of_a_bucket_apart(spark, monkeypatch, common
         assert any(d == doc and n == len(text.split()) and got == pytest.approx(want, abs=0.03) for d, n, got in found)
 
 
+def test_language_model_depends_on_the_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_WORDS", 400)  # some ninety shards: averages of averages
+    monkeypatch.setattr(lm_score, "COPIES", 7)
+    rows = [*sample(), *[(None, "a text that many rows without an id repeat")] * 150, *[(7, "equal rows")] * 20]
+    docs = docs_of(spark, rows)
+    dealt = lm_score.spread_copies(lm_score.sequences(docs, lm_score.vocabulary_of(docs)))
+    assert dealt.count() == sum(1 for _, t in rows if t and WORD.search(t)) and dealt.groupBy("spread").count().agg(F.max("count")).first()[0] < 4
+    nets = []
+    for count in (1, 5, 13):
+        monkeypatch.setattr(lm_score, "PARTITIONS", {1: 3, 5: 1 << 16, 13: 10}[count])
+        random.Random(count).shuffle(rows)
+        vocabulary, net = lm_score.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(count))
+        nets.append((vocabulary.listed, *net))
+    assert all((a == b).all() for other in nets[1:] for a, b in zip(nets[0], other, strict=True))
+    assert not (nets[0][1] == lm_score.new_network().embed).all()
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = lm_score.Network(*[p.astype(np.float64) for p in lm_score.new_network()])

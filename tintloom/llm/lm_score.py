@@ -5,10 +5,13 @@ summed and squashed, and the word is predicted in two steps, its class and its p
 network lists the most frequent words of the whole corpus, and has hashed buckets for all others. A word of a
 bucket has its share of the bucket's count in the corpus, so every word has a probability of its own; an unseen
 one counts as UNSEEN. The COMMON most frequent words are sent to the tasks that score, counts of all others are
-joined. Training runs
-where the data are: in each round every task takes Adagrad steps from the same weights on its part of the
-corpus, and the tasks' weights are averaged, by groups of GROUP until few are left for the driver. What is
-counted and averaged grows with the corpus; every word of every text is predicted once, in one of the rounds.
+joined.
+
+Texts are dealt to shards by a hash of their ids and words, and lie in a shard in the order of that hash, so the
+weights depend on the rows of the corpus alone, not on how they are stored or on the cluster. In each round
+every shard takes Adagrad steps from the same weights, and the shards' weights are averaged, by groups of GROUP
+until few are left for the driver. What is counted and averaged grows with the corpus; every word of every text
+is predicted once, in one of the rounds.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintloom.llm.common import slices, small_batches, stored, utf8
+from tintloom.llm.common import discard, slices, small_batches, stored, utf8
 from tintloom.llm.scan import Words
 
 CLASSES, PER_CLASS, BUCKETS, WIDTH = 32, 32, 64, 16
@@ -32,6 +35,10 @@ ROUNDS, STEP_WORDS, RATE = 2, 1024, 0.15
 #: What all words that the corpus lacks count in each bucket, and the words whose counts are broadcast.
 UNSEEN, COMMON = 0.5, 1 << 18
 CHUNK, GROUP, BLOCK, PIECE = 1 << 20, 32, 8192, 1 << 19
+#: Words of a shard on average, and partitions that shards are dealt to at most; a partition may hold several shards.
+SHARD_WORDS, PARTITIONS = 1 << 21, 1 << 16
+#: Equal rows that are a thousandth of all are hot; there can't be more than a thousand such. Copies of one are made in blocks.
+HOT, COPIES = 1000, 10_000
 
 
 class Network(NamedTuple):
@@ -55,6 +62,7 @@ class Vocabulary(NamedTuple):
     common_logs: np.ndarray  # logarithms of their counts
     bucket_logs: np.ndarray  # logarithm of each bucket's count
     rare: DataFrame | None  # (word, n) of all words that are not common
+    size: int  # words of the corpus
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -98,8 +106,20 @@ def vocabulary_of(docs: DataFrame) -> Vocabulary:
     buckets = np.zeros(BUCKETS, np.int64)
     for r in counts.groupBy(F.shiftrightunsigned("word", 58).alias("bucket")).agg(F.sum("n").alias("n")).collect():
         buckets[r["bucket"]] = r["n"]
+    size = int(buckets.sum())
     np.subtract.at(buckets, (listed >> np.uint64(58)).astype(np.int64), np.array([r["n"] for r in rows], np.int64))
-    return Vocabulary(listed, common[order], np.log(n[order]), np.log(buckets + UNSEEN), counts.where(power < least))
+    return Vocabulary(listed, common[order], np.log(n[order]), np.log(buckets + UNSEEN), counts.where(power < least), size)
+
+
+def contexts_of(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The words around each word of texts that begin at `first`, by offset; beyond a text's border there is none."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    context = np.full((len(OFFSETS), len(ids)), VOCABULARY, np.int32)
+    for k, o in enumerate(OFFSETS):
+        here, there = (slice(-o, None), slice(None, o)) if o < 0 else (slice(None, -o), slice(o, None))
+        same = owner[here] == owner[there]
+        context[k, here][same] = ids[there][same]
+    return context
 
 
 class Reader:
@@ -126,8 +146,8 @@ class Reader:
             rare[at[known]] = False
         return out, rare
 
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What a call gives, and the hashes of the words."""
+    def read(self, texts: list[bytes], contexts: bool = True) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
+        """What a call gives, and the hashes of the words; contexts only if asked for."""
         words = Words(texts, lower=True)
         h = words.hashes()
         ids = (VOCABULARY - BUCKETS + (h >> np.uint64(58)).astype(np.int32) % BUCKETS).astype(np.int32)
@@ -135,13 +155,7 @@ class Reader:
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             known = self.hashes[at] == h
             ids[known] = self.numbers[at[known]]
-        owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
-        context = np.full((len(OFFSETS), len(ids)), VOCABULARY, np.int32)
-        for k, o in enumerate(OFFSETS):
-            here, there = (slice(-o, None), slice(None, o)) if o < 0 else (slice(None, -o), slice(o, None))
-            same = owner[here] == owner[there]
-            context[k, here][same] = ids[there][same]
-        return ids, context, words.first, h
+        return ids, contexts_of(ids, words.first) if contexts else None, words.first, h
 
 
 def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,61 +257,125 @@ def _network(data: np.ndarray) -> Network:
     return Network(*parts)
 
 
-def train_round(docs: DataFrame, vocabulary: Vocabulary, net: Network, turn: int) -> Network:
-    """The average of the weights that all tasks reach from `net` on their parts of `docs`, weighted by words."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary._replace(rare=None), net))
+def sequences(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The stored word numbers (spread, ids) of every row that has words; `spread` is a hash of its id and text."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary._replace(rare=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        vocabulary, start = shared.value
-        reader, net = Reader(vocabulary), Network(*[p.copy() for p in start])
-        grown = [np.full(p.shape, 1e-6, np.float32) for p in net]
-        trained, ids, contexts, waiting = 0, [], [], 0
+        reader = Reader(shared.value)
         for batch in slices(batches, "text", PIECE):
-            word, context, first = reader(utf8(batch.column("text")))
-            at = np.flatnonzero((np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))) % ROUNDS == turn)
-            ids.append(word[at])
-            contexts.append(context[:, at])
-            waiting += len(at)
-            if waiting < STEP_WORDS:
-                continue
-            word, context = np.concatenate(ids), np.concatenate(contexts, axis=1)
-            for a in range(0, len(word), STEP_WORDS):
-                for p, g, s in zip(net, gradients(net, word[a : a + STEP_WORDS], context[:, a : a + STEP_WORDS]), grown, strict=True):
-                    s += g * g
-                    p -= RATE * g / np.sqrt(s)
-            trained, ids, contexts, waiting = trained + len(word), [], [], 0
-        if waiting:
-            word, context = np.concatenate(ids), np.concatenate(contexts, axis=1)
-            for p, g, s in zip(net, gradients(net, word, context), grown, strict=True):
+            ids, _, first, _ = reader.read(utf8(batch.column("text")), contexts=False)
+            offsets = pa.py_buffer((2 * first).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("spread"), pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids.astype(np.uint16))])], ["spread", "ids"])
+
+    found = docs.select(F.xxhash64("doc_id", "text").alias("spread"), "text").mapInArrow(run, "spread long, ids binary")
+    return stored(found.where(F.octet_length("ids") > 0), "sequences")
+
+
+def spread_copies(rows: DataFrame) -> DataFrame:
+    """The rows (spread, ids), where those of hot classes of equal rows have a spread of their own each, the same in every layout."""
+    total = rows.count()
+    hot = rows.groupBy("spread").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.col("n") * HOT >= total)).collect()
+    if not hot:
+        return rows
+    hot = F.broadcast(rows.sparkSession.createDataFrame([(r["spread"], r["n"]) for r in hot], "spread long, n long"))
+    one = rows.join(hot, "spread").groupBy("spread").agg(F.min("ids").alias("ids"), F.max("n").alias("n"))
+    blocks = one.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES)))).repartition("spread", "block")
+    copies = blocks.withColumn("copy", F.explode(F.sequence(F.col("block") * COPIES, F.least((F.col("block") + 1) * COPIES, F.col("n")) - 1)))
+    return rows.join(hot, "spread", "left_anti").union(copies.select(F.xxhash64("spread", "copy").alias("spread"), "ids"))
+
+
+class Trainer:
+    """Adagrad steps on the words of one shard, STEP_WORDS at a time however they arrive."""
+
+    def __init__(self, start: Network):
+        self.net = Network(*[p.copy() for p in start])
+        self.grown = [np.full(p.shape, 1e-6, np.float32) for p in start]
+        self.ids, self.contexts, self.waiting, self.trained = [], [], 0, 0
+
+    def add(self, ids: np.ndarray, context: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.contexts.append(context)
+        self.waiting += len(ids)
+        if self.waiting >= STEP_WORDS:
+            self._steps(self.waiting // STEP_WORDS * STEP_WORDS)
+
+    def _steps(self, most: int) -> None:
+        ids, context = np.concatenate(self.ids), np.concatenate(self.contexts, axis=1)
+        for a in range(0, most, STEP_WORDS):
+            part = slice(a, min(most, a + STEP_WORDS))
+            for p, g, s in zip(self.net, gradients(self.net, ids[part], context[:, part]), self.grown, strict=True):
                 s += g * g
                 p -= RATE * g / np.sqrt(s)
-            trained += len(word)
-        if trained:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int64()), "n": pa.array([trained], pa.int64()), "weights": pa.array([_bytes(net)], pa.binary())})
+        self.trained += most
+        self.ids, self.contexts, self.waiting = [ids[most:]], [context[:, most:]], len(ids) - most
+
+    def finish(self) -> None:
+        if self.waiting:
+            self._steps(self.waiting)
+
+
+def train_round(rows: DataFrame, shards: int, net: Network, turn: int) -> Network:
+    """The average of the weights that all shards of `rows` (spread, ids) reach from `net`, weighted by words."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+    schema = "shard long, n long, weights binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, trainer = None, None
+
+        def report() -> pa.RecordBatch:
+            trainer.finish()
+            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "n": pa.array([trainer.trained], pa.int64()), "weights": pa.array([_bytes(trainer.net)], pa.binary())})
+
+        for batch in slices(batches, "ids", PIECE):
+            names = batch.column("shard").to_numpy()
+            cuts = [*np.flatnonzero(np.diff(names, prepend=-1)).tolist(), len(names)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if names[a] != shard:
+                    if trainer is not None and trainer.trained + trainer.waiting:
+                        yield report()
+                    shard, trainer = int(names[a]), Trainer(shared.value)
+                texts = batch.column("ids").slice(a, b - a).to_pylist()
+                first = np.cumsum([0, *[len(t) // 2 for t in texts]])
+                word = np.frombuffer(b"".join(texts), np.uint16).astype(np.int32)
+                at = np.flatnonzero((np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))) % ROUNDS == turn)
+                trainer.add(word[at], contexts_of(word, first)[:, at])
+        if trainer is not None and trainer.trained + trainer.waiting:
+            yield report()
 
     def mean(table: pa.Table) -> pa.Table:
-        n = table.column("n").to_pylist()
-        total = sum(np.frombuffer(w, np.float32).astype(np.float64) * k for w, k in zip(table.column("weights").to_pylist(), n, strict=True))
-        return pa.table({"part": pa.array([table.column("part")[0].as_py() // GROUP], pa.int64()), "n": pa.array([sum(n)], pa.int64()), "weights": pa.array([(total / sum(n)).astype(np.float32).tobytes()], pa.binary())})
-
-    schema = "part long, n long, weights binary"
-    found = stored(docs.select("text").mapInArrow(run, schema), "weights")
-    while found.count() > GROUP:
-        found = stored(found.groupBy(F.floor(F.col("part") / GROUP).alias("group")).applyInArrow(mean, schema), "weights")
-    rows = sorted((r["part"], r["n"], r["weights"]) for r in found.collect())
-    if not rows:
+        total, n = weighted(table.sort_by("shard").to_pylist())
+        return pa.table({"shard": pa.array([table.column("shard")[0].as_py() // GROUP], pa.int64()), "n": pa.array([n], pa.int64()), "weights": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+
+    def weighted(found) -> tuple[np.ndarray, int]:
+        return sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["n"] for r in found), sum(r["n"] for r in found)
+
+    count = min(shards, PARTITIONS)
+    named = rows.withColumn("shard", F.pmod("spread", F.lit(shards)))
+    dealt = named.repartitionById(count, F.pmod("shard", F.lit(count)).cast("int")).sortWithinPartitions("shard", "spread", "ids")
+    found = stored(dealt.select("shard", "ids").mapInArrow(run, schema), "weights")
+    while shards > GROUP:
+        former, shards = found, -(-shards // GROUP)
+        found = stored(former.groupBy(F.floor(F.col("shard") / GROUP).alias("group")).applyInArrow(mean, schema), "weights")
+        discard(former)
+    averaged = sorted(found.collect(), key=lambda r: r["shard"])
+    discard(found)
+    if not averaged:
         return net
-    return _network(sum(np.frombuffer(w, np.float32).astype(np.float64) * n for _, n, w in rows) / sum(n for _, n, _ in rows))
+    total, n = weighted(averaged)
+    return _network(total / n)
 
 
 def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
-    """Vocabulary and network of a corpus (text)."""
+    """Vocabulary and network of a corpus (doc_id, text); they depend on its rows alone, in whatever order and partitions."""
     small_batches(docs.sparkSession)
     vocabulary, net = vocabulary_of(docs), new_network()
+    shards = max(1, -(-vocabulary.size // SHARD_WORDS))
+    rows = sequences(docs, vocabulary)
+    dealt = spread_copies(rows)
     for turn in range(ROUNDS):
-        net = train_round(docs, vocabulary, net, turn)
+        net = train_round(dealt, shards, net, turn)
+    discard(rows)
     return vocabulary, net
 
 
