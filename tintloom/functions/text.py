@@ -51,8 +51,9 @@ def squeezed(pieces: Column) -> Column:
 
 def number(text: Column) -> Column:
     """A double without `$` and commas; null if it is none. What only Java takes for a number (a trailing d or f, hex) isn't one."""
-    bare = F.regexp_replace(strip(F.translate(text, "$,", "")), r"(?<=\d)_(?=\d)", "")
-    return F.when(bare.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), bare.try_cast("double")).when(
+    plain = F.translate(text, "$,", "")  # nearly always a number as it is: the rules for others cost several times as much
+    bare = F.regexp_replace(strip(plain), r"(?<=\d)_(?=\d)", "")
+    return F.when(plain.rlike(r"^ *\d+(\.\d+)? *$"), plain.try_cast("double")).when(bare.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), bare.try_cast("double")).when(
         F.lower(bare).rlike(r"^[+-]?(nan|inf|infinity)$"), F.regexp_replace(F.regexp_replace(F.lower(bare), "^[+-]?nan$", "nan"), "inf(inity)?", "Infinity").try_cast("double")
     )
 
