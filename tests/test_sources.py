@@ -91,6 +91,22 @@ def test_map_page(spark):
     assert "1 shades" in page and page.count("</script>") == 1
 
 
+def test_map_page_is_written_without_its_points_in_the_driver(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tintloom.plans import catalog, colour_map
+
+    found = spark.range(2500, numPartitions=7).select(F.col("id").alias("x"), (F.col("id") % 90).alias("y"), F.lit("#010203").alias("hex_color"), *[F.format_string('"%s"\n%s</b', F.lit(s), "id").alias(s) for s in colour_map.SLOTS])
+    points = found.where("x < 1000 or x > 1600").orderBy("x")
+    page = map_page(points)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *_, **__: pytest.fail("rows come to the driver"))
+    colour_map.write_map_page(points, tmp_path / "map.html")
+    assert (tmp_path / "map.html").read_text() == page
+    shown = json.loads(page.partition("const points = ")[2].partition(", area = ")[0])
+    assert [p[0] for p in shown] == [*range(1000), *range(1601, 2500)] and shown[0][3][0] == '"brand"\n0</b'
+    assert catalog.QUERIES["map_file"](spark, "/root/testdata/sf0.001").first().n_points > 0
+
+
 class Reply:
     def __init__(self, url, kind, data):
         self.url, self.headers, self.data = url, {"Content-Type": kind}, data

@@ -18,7 +18,7 @@ from tintloom.functions import urls
 from tintloom.functions.urls import HostPolicy
 from tintloom.operators import runs, snapshot
 from tintloom.plans.catalogue_run import run_catalogue
-from tintloom.plans.colour_map import COLOR_COLUMNS, VARIANT_COLUMNS, map_page, map_points
+from tintloom.plans.colour_map import COLOR_COLUMNS, VARIANT_COLUMNS, map_points, write_map_page
 from tintloom.session import build_session
 from tintloom.sources import files, http, images, sinks
 
@@ -173,7 +173,7 @@ def _write_colors(colors: DataFrame, log: DataFrame, swatches: DataFrame, output
 
 def _map(spark: SparkSession, args: argparse.Namespace) -> int:
     points = map_points(files.csv_table(spark, args.variants, VARIANT_COLUMNS), files.csv_table(spark, args.colors, COLOR_COLUMNS))
-    sinks.write_text_file(map_page(points), args.output)
+    write_map_page(points, args.output)
     return 0
 
 

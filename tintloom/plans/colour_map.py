@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import html
 import json
+import shutil
+from collections.abc import Iterator
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tintloom.functions import text
 from tintloom.operators import pixels, snapshot
+from tintloom.sources import files, sinks
 
 # The columns that the two inputs must have.
 VARIANT_COLUMNS = ("product_id", "sku_id", "brand", "product_name", "variant_name", "variant_url", "swatch_image_url", "variant_image_url", "effective_price", "size_value", "size_unit", "price_per_g_ml")
@@ -119,12 +124,58 @@ svg.addEventListener("pointermove", e => {{ if (e.buttons) {{ view.x += e.moveme
 """
 
 
-def map_page(points: DataFrame, title: str = "Colour map") -> str:
-    """The page for points of `map_points`, whole in itself; an error without points."""
-    rows = [r.asDict() for r in points.toLocalIterator()]
-    if not rows:
+def point_lines(points: DataFrame) -> DataFrame:
+    """(line): every point as the page's script has it, a JSON array on a line of its own, in the order of the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shown = ([r["x"], r["y"], r["hex_color"], [r[s] for s in SLOTS]] for r in batch.to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([json.dumps(r, ensure_ascii=False).replace("</", "<\\/") for r in shown], pa.string())], ["line"])
+
+    return points.select("x", "y", "hex_color", *SLOTS).mapInArrow(run, "line string")
+
+
+def _around(points: DataFrame, title: str) -> list[str]:
+    """What the page has before its points and after them; an error without points."""
+    area = points.agg(F.count(F.lit(1)).alias("n"), *axis_ranges(F.col("x"), F.col("y"))).first().asDict()
+    if not (n := area.pop("n")):
         raise ValueError("there are no points to show")
-    area = points.agg(*axis_ranges(F.col("x"), F.col("y"))).first().asDict()
-    shown = [[r["x"], r["y"], r["hex_color"], [r[s] for s in SLOTS]] for r in rows]
-    data = json.dumps(shown, ensure_ascii=False).replace("</", "<\\/")
-    return PAGE.format(title=html.escape(title), count=f"{len(rows):,}", points=data, area=json.dumps(area), slots=json.dumps(SLOTS))
+    mark = "\0"
+    return PAGE.format(title=html.escape(title), count=f"{n:,}", points=f"[\n{mark}\n]", area=json.dumps(area), slots=json.dumps(SLOTS)).split(mark)
+
+
+def map_page(points: DataFrame, title: str = "Colour map") -> str:
+    """The page for points of `map_points`, whole in itself and in memory (`write_map_page` streams it); an error without points."""
+    head, tail = _around(points, title)
+    return head + ",\n".join(r["line"] for r in point_lines(points).toLocalIterator()) + tail
+
+
+def write_map_page(points: DataFrame, path: str | Path, title: str = "Colour map") -> None:
+    """The page of `map_page` as a file: executors write its lines to shared storage, the driver joins them block by block."""
+    head, tail = _around(points, title)
+    work = files.scratch(points.sparkSession)
+
+    def write(temporary: Path) -> None:
+        with temporary.open("wb") as out:
+            out.write(head.encode())
+            ended = False
+            for part in sorted((work / "lines").glob("part-*")):
+                with part.open("rb") as lines:
+                    while block := lines.read(1 << 20):
+                        # The last line's end isn't followed by another line, so it is held back.
+                        out.write((b",\n" if ended else b"") + block.removesuffix(b"\n").replace(b"\n", b",\n"))
+                        ended = block.endswith(b"\n")
+            out.write(tail.encode())
+
+    try:
+        point_lines(points).write.text(f"file://{work}/lines", lineSep="\n")
+        sinks.replace(Path(path), write)
+    finally:
+        shutil.rmtree(work, ignore_errors=True)
+
+
+def page_lines(spark: SparkSession, path: str | Path) -> DataFrame:
+    """(value, point) of every line of a page that is written; `point` is its slots where it is a point's, else null."""
+    lines = spark.read.text(f"file://{Path(path).absolute()}", lineSep="\n")
+    whole = F.from_json(F.when(F.col("value").startswith("["), F.regexp_replace("value", ",$", "")), "array<string>")
+    return lines.select("value", F.from_json(F.get(whole, F.lit(3)), "array<string>").alias("point"))

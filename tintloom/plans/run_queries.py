@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
-import tempfile
 import zlib
-from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -27,19 +25,10 @@ POLICY = HostPolicy()
 MOMENT = "2026-01-01T00:00:00Z"
 
 
-def scratch(spark) -> Path:
-    """A folder for the files of a query: below the one that all machines share, or a temporary one in local mode."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-    base = re.sub("^file:/+", "/", shared) if shared else None
-    return Path(tempfile.mkdtemp(prefix="tintloom-", dir=base))
-
-
 @R.query("""SELECT s_suppkey::VARCHAR AS id, s_name || chr(10) || '"é", ' || s_nationkey AS name, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS note FROM supplier""")
 def csv_round_trip(spark, sf_dir):
     rows = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.concat("s_name", F.lit('\n"é", '), "s_nationkey").alias("name"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).otherwise("").alias("note"), F.lit(1).alias("more"))
-    path = scratch(spark) / "suppliers.csv"
+    path = files.scratch(spark) / "suppliers.csv"
     sinks.write_csv_file(rows, path, ("note", "id", "name"))
     return files.csv_table(spark, str(path), ("id", "name")).select("id", "name", "note")
 
@@ -47,7 +36,7 @@ def csv_round_trip(spark, sf_dir):
 @R.query("SELECT n_nationkey::INT AS n_nationkey, 'is missing: ' || n_name AS found FROM nation")
 def csv_missing(spark, sf_dir):
     """A CSV file that isn't there is an empty table, or an error where it must be."""
-    path = str(scratch(spark) / "none.csv")
+    path = str(files.scratch(spark) / "none.csv")
     assert files.csv_rows(spark, path, ("id", "name")).columns == ["id", "name"]
     nothing = files.csv_rows(spark, path, ("id",)).select(F.col("id").cast("int").alias("n_nationkey"))
     try:
@@ -61,7 +50,7 @@ def csv_missing(spark, sf_dir):
 
 @R.query("SELECT n_name || 'é' AS name, n_nationkey::INT AS k FROM nation")
 def json_round_trip(spark, sf_dir):
-    path = scratch(spark) / "nations.json"
+    path = files.scratch(spark) / "nations.json"
     sinks.write_json_file({r["n_name"] + "é": r["n_nationkey"] for r in read(spark, sf_dir, "nation").collect()}, path)
     return spark.createDataFrame(list(files.json_document(spark, str(path)).items()), "name string, k int")
 
@@ -69,7 +58,7 @@ def json_round_trip(spark, sf_dir):
 @R.query("""SELECT 'n' || n_nationkey AS name, 'https://www.shop.example/' || CASE WHEN n_nationkey % 2 = 0 THEN 'p/x-prod' ELSE 'shop/x' END || n_nationkey AS source_url,
   CASE WHEN n_nationkey % 2 = 0 THEN 'product' ELSE 'listing' END AS kind, 7::INT AS max_pages, 25::INT AS checkpoint_interval, (SELECT count(*) FROM nation)::INT AS n FROM nation""")
 def collections_and_settings(spark, sf_dir):
-    folder, nations = scratch(spark), [r["n_nationkey"] for r in read(spark, sf_dir, "nation").collect()]
+    folder, nations = files.scratch(spark), [r["n_nationkey"] for r in read(spark, sf_dir, "nation").collect()]
     (folder / "s.toml").write_text("[scraper]\nmax_pages = 7\n")
     (folder / "c.toml").write_text("\n".join(f'[collections.n{k}]\nsource_url = "https://www.shop.example/{"p/x-prod" if k % 2 == 0 else "shop/x"}{k}"' for k in nations))
     names = config.collection_names(folder / "c.toml")
@@ -152,7 +141,7 @@ def _png(side: int, rgb: tuple[int, int, int], border: tuple[int, ...]) -> bytes
 
 def nation_images(spark, sf_dir):
     """(swatches, images): a swatch of every nation, its image file named by its key; every seventh file can't be read, every eleventh isn't there."""
-    folder, nations = scratch(spark), read(spark, sf_dir, "nation")
+    folder, nations = files.scratch(spark), read(spark, sf_dir, "nation")
     for k in (r["n_nationkey"] for r in nations.collect()):
         if k % 11 != 10:
             (folder / f"{k}.png").write_bytes(b"no image" if k % 7 == 6 else _png(20, (k * 10 % 256, k * 7 % 256, 200), (255, 255, 255, 0)))
@@ -202,14 +191,14 @@ def color_manifest(spark, sf_dir):
 
 @R.query("""SELECT sha256(string_agg(n_name, chr(10) ORDER BY n_nationkey)) AS digest FROM nation""")
 def file_digest(spark, sf_dir):
-    path = scratch(spark) / "names.txt"
+    path = files.scratch(spark) / "names.txt"
     sinks.write_text_file("\n".join(r["n_name"] for r in read(spark, sf_dir, "nation").orderBy("n_nationkey").collect()), path)
     return spark.createDataFrame([(images.file_sha256(spark, str(path)),)], "digest string")
 
 
 def keeper(spark):
     """Stores frames that several others are made of as tables."""
-    folder = scratch(spark)
+    folder = files.scratch(spark)
 
     def keep(frame, name):
         frame.write.parquet(f"file://{folder}/{name}")
@@ -285,7 +274,7 @@ def run_state(spark, sf_dir):
     data = F.concat(F.lit('<script type="application/ld+json">{"@type":"Product","productID":"prod'), k, F.lit('","sku":"'), k, F.lit('"}</script>'))
     pages = nations.where(k % 4 > 0).select(name.alias("url"), data.alias("html"))
     inventory = nations.select(F.concat(F.lit("prod"), k).alias("product_id"), name.alias("product_url"), F.lit(None).cast("string").alias("listing_page"), (k + 1).alias("listing_position"))
-    folder = str(scratch(spark))
+    folder = str(files.scratch(spark))
     run_catalogue(spark, lambda: inventory, runs.stored_pages(pages), POLICY, folder, {"collection": "nations"}, lambda: MOMENT, 9)
     found = files.json_document(spark, f"{folder}/checkpoint.json")
     row = (found["state"], len(found["parts"]), found["product_count"], found["inventory_product_count"], found["unresolved_product_count"], ",".join(found["completed_product_ids"]))
@@ -295,13 +284,12 @@ def run_state(spark, sf_dir):
 @R.query("SELECT count(*)::INT AS n_points, 13::INT AS n_slots, format('{:,} shades', count(*)) AS shown, true AS has_axes FROM part")
 def map_file(spark, sf_dir):
     """The page of the colour map, written and read back."""
-    path = scratch(spark) / "map.html"
-    sinks.write_text_file(colour_map.map_page(color_map(spark, sf_dir)), path)
-    page = path.read_text(encoding="utf-8")
-    import json
-
-    points = json.loads(re.search(r"const points = (\[.*\]), area = (\{.*\});", page)[1])
-    return spark.createDataFrame([(len(points), len(points[0][3]), re.search(r"[\d,]+ shades", page)[0], '"x_low"' in page)], "n_points int, n_slots int, shown string, has_axes boolean")
+    path = files.scratch(spark) / "map.html"
+    colour_map.write_map_page(color_map(spark, sf_dir), path)
+    shown = F.max(F.regexp_extract("value", r"[\d,]+ shades", 0)).alias("shown")
+    size = F.array_size("point")
+    slots = F.when(F.min(size) == F.max(size), F.max(size)).alias("n_slots")
+    return colour_map.page_lines(spark, path).agg(F.count("point").cast("int").alias("n_points"), slots, shown, F.bool_or(F.contains("value", F.lit('"x_low"'))).alias("has_axes"))
 
 
 @R.query(r"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'State [' || p_name || ']' WHEN 1 THEN p_name || ' of a box' WHEN 2 THEN p_name || ' under a heading' END AS ingredients,

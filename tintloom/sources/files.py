@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
+import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 from typing import Any
 
 import pandas as pd
@@ -20,6 +23,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def scratch(spark: SparkSession) -> Path:
+    """A new folder for files: below the one that all machines share, or a temporary one in local mode."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    base = re.sub("^file:/+", "/", shared) if shared else None
+    return Path(tempfile.mkdtemp(prefix="tintloom-", dir=base))
+
+
 def csv_rows(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
     """A CSV file with header as texts, empty cells null, a byte order mark skipped; without a file an empty table of `columns`."""
     if not exists(spark, path):

@@ -28,7 +28,8 @@ COLORS = ("product_id", "sku_id", "swatch_image_url", "image_sha256", "image_wid
 COLOR_FAILURES = ("product_id", "sku_id", "swatch_image_url", "error_type", "message")
 
 
-def _replace(path: Path, write) -> None:
+def replace(path: Path, write) -> None:
+    """A file that `write` fills aside and that is then moved into place."""
     path.parent.mkdir(parents=True, exist_ok=True)
     temporary = path.with_name(f".{path.name}.{os.getpid()}.tmp")
     try:
@@ -48,15 +49,15 @@ def write_csv_file(frame: DataFrame, path: str | Path, fields: Sequence[str]) ->
             for row in frame.select(*fields).toLocalIterator():
                 out.writerow(["" if v is None else v for v in row])
 
-    _replace(Path(path), write)
+    replace(Path(path), write)
 
 
 def write_json_file(value: Any, path: str | Path) -> None:
-    _replace(Path(path), lambda t: t.write_text(json.dumps(value, ensure_ascii=False, indent=2) + "\n", encoding="utf-8"))
+    replace(Path(path), lambda t: t.write_text(json.dumps(value, ensure_ascii=False, indent=2) + "\n", encoding="utf-8"))
 
 
 def write_text_file(value: str, path: str | Path) -> None:
-    _replace(Path(path), lambda t: t.write_text(value, encoding="utf-8"))
+    replace(Path(path), lambda t: t.write_text(value, encoding="utf-8"))
 
 
 class RunFolder:
