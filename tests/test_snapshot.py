@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tintloom.operators import snapshot
 
@@ -11,6 +12,15 @@ def test_keep_first_and_positions(spark):
     assert all(r.n == r.position for r in numbered.collect())
 
 
+def test_positions_of_more_rows_than_a_sample(spark):
+    """Columns beside the order, an order of two columns and nulls in it; ranges are read for their sizes and for their rows."""
+    rows = spark.range(60_000, numPartitions=6).selectExpr("(id * 7919) % 60000 as n", "repeat('x', 20) as text").withColumns({"a": F.when(F.col("n") >= 100, F.col("n").cast("int") % 3), "b": F.col("n")})
+    found = snapshot.positions(rows, ["a", "b"]).collect()
+    ordered = sorted(((-1 if r.a is None else r.a), r.b, r.position) for r in found)
+    assert [p for *_, p in ordered] == [*range(1, 60_001)] and {r.text for r in found} == {"x" * 20}
+    assert snapshot.positions(rows.where("n < 0"), ["b"]).count() == 0
+
+
 def test_strict_join(spark):
     left = spark.createDataFrame([(" a ", 1, "l"), ("b", 2, "l")], "sku string, n int, side string")
     right = spark.createDataFrame([("a", "r"), (" b", "r")], "sku string, side string")

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of the sample that `positions` takes its bounds from, for each of its ranges.
+SAMPLED = 100
+
+
 class ContractError(ValueError):
     """A table doesn't satisfy what is asked of it."""
 
@@ -22,18 +26,25 @@ def keep_first(frame: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def positions(frame: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """The rows numbered 1, 2, ... in `order`, without bringing them together.
 
-    Rows are sorted by range; a row's number is its place in its partition after the sizes of those before it,
-    and only these sizes are summed in one place.
+    Rows are cut into ranges by bounds from a sample, taken once: a row's number is its place in its range after the
+    sizes of the ranges before, and only these sizes are summed in one place. Which range a row is in follows from
+    the row alone, so sizes and places agree however often Spark reads or deals the rows.
     """
     cols = [F.col(c) for c in order]
-    # A given count of partitions: both branches below must see the same ones, so none may be coalesced.
+    key = F.struct(*cols)
     count = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = frame.repartitionByRange(count, *cols).sortWithinPartitions(*cols)
-    placed = dealt.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    kinds = frame.select(*cols).schema.fields
+    drawn = frame.select(key.alias("k")).orderBy(F.rand(1)).limit(count * SAMPLED).agg(F.array_sort(F.collect_set("k"))).first()[0]
+    bounds = [drawn[i * len(drawn) // count] for i in range(1, count)] if len(drawn) > count else drawn[1:]
+    dealt = frame.withColumn("__part", F.lit(0))
+    if bounds:
+        held = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, kinds, strict=True)]) for b in bounds])
+        dealt = frame.withColumn("__part", F.size(F.filter(held, lambda b: b <= key)))
+    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
-    return placed.join(starts, "__part").withColumn(name, F.col("__start") + F.col("__at") + 1).drop("__part", "__at", "__start")
+    placed = dealt.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*cols)))
+    return placed.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
 
 
 def first_n(frame: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
