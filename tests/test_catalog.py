@@ -22,3 +22,8 @@ def test_plans_prune_columns_and_stay_native(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
     scan = next(line for line in plan.splitlines() if "ReadSchema" in line)
     assert "l_extendedprice" not in scan.split("ReadSchema")[1]
+
+
+def test_page_failures_deals_parts_before_they_are_pages(spark):
+    plan = catalog.QUERIES["page_failures"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Repartition")

@@ -12,6 +12,11 @@ R = Registry()
 POLICY = HostPolicy()
 
 
+def dealt_parts(spark, sf_dir):
+    """Parts, dealt to all cores while rows are small: a part becomes a page that takes long to read."""
+    return read(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)
+
+
 def part_pages(spark, sf_dir):
     """A product page (page_id, url, html) for every part: data in an object, a list or a graph, sale prices, swatches, ingredients."""
     k = F.col("p_partkey")
@@ -31,8 +36,7 @@ def part_pages(spark, sf_dir):
         F.lit('</div><p class="ProductDimension">Size: <b>'), F.col("p_size"), F.lit(' oz</b></p><div class="ProductSwatches ProductSwatches--content"><legend>Shade</legend><a href="/p/y-prod1?sku='), k + 1, F.lit('"><img src="/s/1.png" alt="b"></a></div>'),
         F.lit("<section><h3>Ingredients:</h3><p>"), F.col("p_type"), F.lit("&amp;water</p></section></main><a href='/p/z-vp"), k, F.lit("'>z</a><a href='?page=2'><b>Load</b> more</a></body></html>"),
     )
-    # Dealt while rows are small: a part becomes a page that takes long to read.
-    return read(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism).select(k.alias("page_id"), F.concat(F.lit("https://www.shop.example/p/a-prod"), k, F.lit("?sku="), k, F.lit("&x=1")).alias("url"), html.alias("html"))
+    return dealt_parts(spark, sf_dir).select(k.alias("page_id"), F.concat(F.lit("https://www.shop.example/p/a-prod"), k, F.lit("?sku="), k, F.lit("&x=1")).alias("url"), html.alias("html"))
 
 
 @R.query(r"""SELECT 'https://www.shop.example/p/a-prod' || p_partkey || '?sku=' || p_partkey || '&x=1' AS url, 'prod' || p_partkey AS product_id, p_partkey::VARCHAR AS sku_id, p_brand AS brand,
@@ -83,6 +87,6 @@ def page_failures(spark, sf_dir):
     )
     body = F.element_at(F.array(*[F.lit(b if b.startswith("<") else f'<script type="application/ld+json">{b}</script>') for b in bodies]), (k % 7 + 1).cast("int"))
     token = F.when(k % 7 == 3, F.lit("prod1?sku=1")).otherwise("thing")
-    pages = read(spark, sf_dir, "part").select(k, F.concat(F.lit("https://www.shop.example/p/"), k, F.lit("-"), token).alias("url"), body.alias("html"))
-    found = P.product_rows(P.raw_pages(pages, parts="product"), POLICY).where("error is not null")
-    return pages.select("p_partkey", "url").join(found, "url").select("p_partkey", "error", "error_type")
+    pages = dealt_parts(spark, sf_dir).select(k, F.concat(F.lit("https://www.shop.example/p/"), k, F.lit("-"), token).alias("url"), body.alias("html"))
+    found = P.product_rows(P.raw_pages(pages, ("url", "p_partkey"), "product"), POLICY, ("p_partkey",))
+    return found.where("error is not null").select("p_partkey", "error", "error_type")
