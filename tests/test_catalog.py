@@ -27,3 +27,8 @@ def test_plans_prune_columns_and_stay_native(spark):
 def test_page_failures_deals_parts_before_they_are_pages(spark):
     plan = catalog.QUERIES["page_failures"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Repartition")
+
+
+def test_page_details_deals_parts_before_they_are_pages(spark):
+    plan = catalog.QUERIES["page_details"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Repartition")

@@ -16,7 +16,7 @@ from tintloom.operators import runs, snapshot
 from tintloom.plans import colour_map
 from tintloom.plans.catalogue_run import run_catalogue
 from tintloom.plans.color_queries import color_map, lab_sql
-from tintloom.plans.page_queries import part_pages
+from tintloom.plans.page_queries import dealt_parts, part_pages
 from tintloom.plans.tables import Registry, read
 from tintloom.sources import files, http, images, sinks
 
@@ -303,9 +303,9 @@ def page_details(spark, sf_dir):
     picture = F.when(k % 2 == 0, "<img src='/i/own.png'>").otherwise("")
     swatch = F.concat(F.lit("<div class='ProductSwatches ProductSwatches--content'><a href='?sku=none'><img src='/i/no.png' alt='no'></a><a href='?sku="), k, F.lit("'>"), F.col("p_type"), F.lit(" Thing"), picture, F.lit("</a></div>"))
     by_name = F.when(k % 2 == 1, F.concat(F.lit("<img src='/i/"), k, F.lit("_sw.png'>"))).otherwise("")
-    pages = read(spark, sf_dir, "part").select(k, F.concat(F.lit("https://www.shop.example/p/a-prod"), k).alias("url"), F.concat(data, state, swatch, by_name, box).alias("html"))
-    found = P.product_rows(P.raw_pages(pages, parts="product"), POLICY)
-    return pages.select("p_partkey", "url").join(found, "url").select("p_partkey", "ingredient.ingredients", F.col("variant.swatch_image_url").alias("swatch"), "variant.variant_name")
+    pages = dealt_parts(spark, sf_dir).select(k, F.concat(F.lit("https://www.shop.example/p/a-prod"), k).alias("url"), F.concat(data, state, swatch, by_name, box).alias("html"))
+    found = P.product_rows(P.raw_pages(pages, ("url", "p_partkey"), "product"), POLICY, ("p_partkey",))
+    return found.select("p_partkey", "ingredient.ingredients", F.col("variant.swatch_image_url").alias("swatch"), "variant.variant_name")
 
 
 @R.query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal END AS value, CASE WHEN s_suppkey % 3 = 0 THEN 'ValueError: lab_l is missing or invalid for ' || s_suppkey END AS error FROM supplier WHERE s_suppkey % 3 > 0 OR s_suppkey = 3""")
