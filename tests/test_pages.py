@@ -153,3 +153,24 @@ def test_catalogue_tables(spark):
     assert tables["products"].count() == 1 and tables["completed"].count() == 0
     assert {(r.error_type, r.message) for r in tables["failures"].collect()} == {("LookupError", "page not found"), ("ParseError", "product data not found")}
     assert {(r.stage, r.product_id) for r in tables["failures"].collect()} == {("product", "prod2"), ("variant", "prod1")}
+
+
+def test_runs_send_no_side_of_a_join_to_the_driver(spark):
+    """Whatever Spark estimates of pages and keys, which grow with the input; of a run and of one that goes on."""
+    from conftest import SF
+
+    from tintloom.plans import run_queries
+
+    def plain(frame):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+        return frame
+
+    def store():
+        keep = run_queries.keeper(spark)
+        return lambda frame, name: keep(plain(frame), name)
+
+    keep = store()
+    first = {name: keep(frame, name) for name, frame in runs.catalogue_tables(*run_queries.part_run(spark, SF), POLICY, F.lit("t"), store=store()).items()}
+    again = runs.catalogue_tables(*run_queries.part_run(spark, SF, repaired=True), POLICY, F.lit("u"), first, store())
+    for frame in again.values():
+        plain(frame)

@@ -25,7 +25,7 @@ def stored_pages(pages: DataFrame) -> PageSource:
     once = snapshot.keep_first(pages.select("url", "html", *log).withColumn("__none", F.isnull("html")), ["url"], ["__none", "html"]).drop("__none")
 
     def source(addresses: DataFrame) -> DataFrame:
-        found = addresses.select("url").distinct().join(once, "url", "left")
+        found = addresses.select("url").distinct().join(snapshot.beside(once), "url", "left")
         missing = F.col("html").isNull()
         return found.select(
             "url", "html", F.when(missing, F.coalesce("error_type", F.lit("LookupError"))).alias("error_type"), F.when(missing, F.coalesce("message", F.lit("page not found"))).alias("message")
@@ -89,15 +89,15 @@ def attempts(inventory: DataFrame, source: PageSource, policy: HostPolicy, known
     """
     kinds = ["product", "variant", "ingredient", "error_type", "message"]
     wanted = inventory.select("listing_position", F.coalesce("product_id", "product_url").alias("product_id"), F.col("product_url").alias("url"))
-    own = store(wanted.join(read_products(source, wanted, policy), "url"), "own")
+    own = store(wanted.join(snapshot.beside(read_products(source, wanted, policy)), "url"), "own")
     more = own.select("listing_position", "product_id", F.posexplode("variant_urls").alias("at", "url")).withColumn("sku_id", urls.parameter(F.col("url"), policy.parameter))
     seen = own.where("variant is not null").groupBy(F.col("variant.sku_id").alias("sku_id")).agg(F.min("listing_position").alias("since"))
     if known_skus is not None:
         seen = seen.unionByName(known_skus.select("sku_id", F.lit(0).cast(seen.schema["since"].dataType).alias("since"))).groupBy("sku_id").agg(F.min("since").alias("since"))
-    open_ = more.join(seen, "sku_id", "left").where("since is null or since > listing_position").drop("since")
-    tried = store(open_.join(read_products(source, open_, policy), "url"), "variants")
+    open_ = more.join(snapshot.beside(seen), "sku_id", "left").where("since is null or since > listing_position").drop("since")
+    tried = store(open_.join(snapshot.beside(read_products(source, open_, policy)), "url"), "variants")
     first = tried.where("variant.sku_id = sku_id").groupBy("sku_id").agg(F.min(F.struct("listing_position", "at")).alias("first"))
-    read = tried.join(first, "sku_id", "left").where(F.col("first").isNull() | (F.struct("listing_position", "at") <= F.col("first")))
+    read = tried.join(snapshot.beside(first), "sku_id", "left").where(F.col("first").isNull() | (F.struct("listing_position", "at") <= F.col("first")))
     rows = own.select("listing_position", F.lit(-1).alias("at"), "product_id", "url", F.lit("product").alias("stage"), *kinds)
     return rows.unionByName(read.select("listing_position", "at", "product_id", "url", F.lit("variant").alias("stage"), *kinds))
 
